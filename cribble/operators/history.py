@@ -1,0 +1,69 @@
+"""Checking new batches against all history and against one another.
+
+The accepted records are indexed once, by address, by digest and by the segments of their sketches (``similar.py``);
+a batch only probes the index, and what it adds is appended. Order matters: a record counts as accepted history for
+the records after it only if it repeated nothing before it. That is resolved set-wise: every record lists the keys
+it owns and the keys that it must not find taken (the same, and those of similar classes); in each round, records
+that find an earlier accepted owner are rejected and records with no earlier undecided rival are accepted.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from cribble.operators.lineage import cut
+from cribble.operators.similar import J_ALONE, WordIndex, class_pairs, titled_nodes
+
+
+def _least(df: DataFrame, key: str, out: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("id").alias(out))
+
+
+def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(matched_id, incoming_id): incoming records that repeat an accepted one, with the least such.
+
+    history: id, url, digest, title, content of the accepted records. incoming: the same and batch_no. url and title
+    are normalised. Nulls in url and digest match nothing; a null content is empty. Records are taken by batch_no (nulls first), then
+    id; ids are unique over both.
+    """
+    hist, new = WordIndex(history), WordIndex(incoming)
+    recs = cut(incoming.select("id", F.struct("batch_no", "id").alias("ord"), "url", "digest"))
+
+    by_class, by_self = class_pairs(new, hist), class_pairs(new)
+    m, hm = new.members, hist.members
+    old_titles = hm.groupBy(F.col("rep").alias("b"), F.col("title").alias("xb")).agg(F.min("id").alias("hid"))
+    old = [
+        recs.join(_least(history, "url", "hid"), "url").select("id", "hid"),
+        recs.join(_least(history, "digest", "hid"), "digest").select("id", "hid"),
+        m.join(by_class.where(F.col("jaccard") >= J_ALONE), m.rep == by_class.a).select("id", F.col("b").alias("hid")),
+        titled_nodes(by_class, new, hist).join(old_titles, ["b", "xb"]).join(m.select("id", F.col("rep").alias("a"), F.col("title").alias("xa")), ["a", "xa"]).select("id", "hid"),
+    ]
+    matched = cut(old[0].union(old[1]).union(old[2]).union(old[3]).groupBy("id").agg(F.min("hid").alias("hid")))
+
+    k = lambda tag, *c: F.concat_ws("\x1f", F.lit(tag), *[F.col(x).cast("string") for x in c])
+    own = recs.where("url is not null").select("id", k("u", "url").alias("key"))
+    own = own.union(recs.where("digest is not null").select("id", k("h", "digest").alias("key")))
+    own = own.union(m.select("id", k("c", "rep").alias("key"))).union(m.select("id", k("t", "rep", "title").alias("key")))
+    high = by_self.where(F.col("jaccard") >= J_ALONE)
+    low = titled_nodes(by_self, new)
+    adj = high.select(k("c", "a").alias("key"), k("c", "b").alias("other")).union(low.select(k("t", "a", "xa").alias("key"), k("t", "b", "xb").alias("other")))
+    adj = adj.union(adj.select("other", "key"))
+    own = own.join(recs.select("id", "ord"), "id")
+    seen = own.join(adj, "key").select("id", F.col("other").alias("key"), "ord")
+    first = own.groupBy("key").agg(F.min("ord").alias("first"))
+    # only keys that a later record asks for can decide anything
+    asks = cut(own.unionByName(seen).join(first, "key").where("first < ord").select("id", "ord", "key"))
+    own = cut(own.join(asks.select("key").distinct(), "key", "left_semi").select("id", "ord", "key"))
+
+    busy = asks.select("id").union(own.select("id")).distinct()
+    state = cut(busy.join(matched.select("id", F.lit(False).alias("ok")), "id", "left"))
+    while not state.where("ok is null").isEmpty():
+        taken = own.join(state, "id").where("ok is null or ok").groupBy("key").agg(F.min(F.when(F.col("ok"), F.col("ord"))).alias("acc"), F.min(F.when(F.col("ok").isNull(), F.col("ord"))).alias("und"))
+        met = asks.join(taken, "key").groupBy("id").agg(F.max(F.coalesce(F.col("acc") < F.col("ord"), F.lit(False))).alias("hit"), F.max(F.coalesce(F.col("und") < F.col("ord"), F.lit(False))).alias("wait"))
+        step = F.when(F.col("ok").isNotNull(), F.col("ok")).when(F.coalesce("hit", F.lit(False)), F.lit(False)).when(~F.coalesce("wait", F.lit(False)), F.lit(True))
+        state = cut(state.join(met, "id", "left").select("id", step.alias("ok")))
+
+    kept = own.join(state.where("ok"), "id").select("key", F.col("id").alias("hid"), F.col("ord").alias("o"))
+    inner = asks.join(kept, "key").where("o < ord").select("id", "hid")
+    both = matched.unionByName(inner).groupBy("id").agg(F.min("hid").alias("matched_id"))
+    return both.select("matched_id", F.col("id").alias("incoming_id"))
