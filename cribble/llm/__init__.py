@@ -1,0 +1 @@
+"""Operators on texts for training data. Nothing else in the library imports this package."""
