@@ -69,13 +69,13 @@ class WordIndex:
 
     @cached_property
     def sets(self) -> DataFrame:
-        d = self.docs.select(F.col("id").cast("long").alias("id"), F.lit(True).alias("inc"), "title", "content")
+        d = self.docs.select(F.col("id").cast("long").alias("id"), "title", "content")
         return d.mapInArrow(sketch.word_sets, sketch.WORD_SETS)
 
     @cached_property
     def classes(self) -> DataFrame:
-        """rep (the class's least id), n, tokens."""
-        return self.sets.groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+        """rep (the class's least id), tokens. All uses take just these columns, so they share one exchange."""
+        return self.sets.select("cls", "id", "tokens").groupBy("cls").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens")).select("rep", "tokens")
 
     @cached_property
     def members(self) -> DataFrame:
@@ -87,7 +87,7 @@ class WordIndex:
     @cached_property
     def segments(self) -> DataFrame:
         """key (of a band at its position), rep, n, s0..s3."""
-        k = self.classes.select("rep", "n", F.lit(True).alias("inc"), "tokens").mapInArrow(sketch.content_bands, sketch.CONTENT_BANDS)
+        k = self.classes.mapInArrow(sketch.content_bands, sketch.CONTENT_BANDS)
         return k.select(F.explode("bands").alias("key"), "rep", "n", "s0", "s1", "s2", "s3")
 
     @cached_property
@@ -107,7 +107,7 @@ class WordIndex:
         return k.select(F.explode("bands").alias("key"), "tid", "s0", "s1")
 
     def weak(self, reps: DataFrame) -> DataFrame:
-        k = self.classes.select("rep", "tokens").join(reps, "rep", "left_semi").mapInArrow(sketch.weak_bands, sketch.WEAK)
+        k = self.classes.join(reps, "rep", "left_semi").mapInArrow(sketch.weak_bands, sketch.WEAK)
         return k.select("rep", F.explode("bands").alias("key"))
 
 
@@ -151,10 +151,10 @@ def class_pairs(p: WordIndex, q: WordIndex | None = None) -> DataFrame:
     """a (class of p), b (class of q), jaccard of at least 0.35; within one index each pair once, with a < b."""
     q = q or p
     c = _content_candidates(p, q).union(_title_candidates(p, q)).distinct()
-    ta = p.classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("xa"))
-    tb = q.classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("xb"))
+    ta = p.classes.select(F.col("rep").alias("a"), F.col("tokens").alias("xa"))
+    tb = q.classes.select(F.col("rep").alias("b"), F.col("tokens").alias("xb"))
     j = c.join(ta, "a").join(tb, "b").withColumn("i", F.size(F.array_intersect("xa", "xb")))
-    j = j.select("a", "b", (F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("jaccard"))
+    j = j.select("a", "b", (F.col("i") / (F.size("xa") + F.size("xb") - F.col("i"))).alias("jaccard"))
     return cut(j.where(F.col("jaccard") >= J_TITLED))
 
 

@@ -55,30 +55,29 @@ def bits(mins: np.ndarray) -> np.ndarray:
 
 
 def word_sets(batches):
-    """(id, inc, title, content) -> (id, inc, title, cls, n, tokens), without contents of fewer than MIN_WORDS words.
+    """(id, title, content) -> (id, title, cls, tokens), without contents of fewer than MIN_WORDS words.
 
     cls is a 128-bit digest of the word set, tokens its sorted 64-bit hashes.
     """
     cache: dict = {}
     for batch in batches:
-        ids, inc, titles, texts = (batch.column(i).to_pylist() for i in range(4))
-        rows: list = [[], [], [], [], [], []]
-        for i, c, t, x in zip(ids, inc, titles, texts):
+        rows: list = [[], [], [], []]
+        for i, t, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
             found = set(x.split()) if x else ()
             if len(found) < MIN_WORDS:
                 continue
             h = np.sort(_hashes(found, cache))
-            for col, v in zip(rows, (i, c, t or "", xxhash.xxh3_128_digest(h.tobytes()), len(found), h.view(np.int64))):
+            for col, v in zip(rows, (i, t or "", xxhash.xxh3_128_digest(h.tobytes()), h.view(np.int64))):
                 col.append(v)
-        flat = pa.array(np.concatenate(rows[5]) if rows[5] else np.zeros(0, np.int64))
-        ends = pa.array(np.cumsum([0, *map(len, rows[5])]), pa.int32())
+        flat = pa.array(np.concatenate(rows[3]) if rows[3] else np.zeros(0, np.int64))
+        ends = pa.array(np.cumsum([0, *map(len, rows[3])]), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.bool_()), pa.array(rows[2], pa.string()), pa.array(rows[3], pa.binary()), pa.array(rows[4], pa.int32()), pa.ListArray.from_arrays(ends, flat)],
-            ["id", "inc", "title", "cls", "n", "tokens"],
+            [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.binary()), pa.ListArray.from_arrays(ends, flat)],
+            ["id", "title", "cls", "tokens"],
         )
 
 
-WORD_SETS = "id long, inc boolean, title string, cls binary, n int, tokens array<long>"
+WORD_SETS = "id long, title string, cls binary, tokens array<long>"
 
 
 def _lists(rows: list) -> pa.ListArray:
@@ -88,21 +87,21 @@ def _lists(rows: list) -> pa.ListArray:
 
 
 def content_bands(batches):
-    """(rep, n, inc, tokens) -> (rep, n, inc, s0..s3, bands): 256 sketch bits and the keys of the bands."""
+    """(rep, tokens) -> (rep, n, s0..s3, bands): the set's size, 256 sketch bits and the keys of the bands."""
     a, b = _coefficients(BANDS * ROWS, 11)
     for batch in batches:
         sigs, keys = [], []
-        tokens = batch.column(3)
+        tokens = batch.column(1)
         values, ends = tokens.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))])
         for i in range(len(tokens)):
             m = minhash(values[ends[i] : ends[i + 1]], a, b)
             sigs.append(bits(m[:256]))
             keys.append(band_keys(m, BANDS, ROWS, 1))
         s = np.array(sigs, dtype=np.int64).reshape(-1, 4)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *(pa.array(s[:, j]) for j in range(4)), _lists(keys)], ["rep", "n", "inc", "s0", "s1", "s2", "s3", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int32()), *(pa.array(s[:, j]) for j in range(4)), _lists(keys)], ["rep", "n", "s0", "s1", "s2", "s3", "bands"])
 
 
-CONTENT_BANDS = "rep long, n int, inc boolean, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+CONTENT_BANDS = "rep long, n int, s0 long, s1 long, s2 long, s3 long, bands array<long>"
 
 
 def weak_bands(batches):
