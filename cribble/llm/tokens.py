@@ -91,16 +91,18 @@ def encode_chunked(text: str, enc, size: int = CHUNK, overlap: int = OVERLAP) ->
     return [i for piece in stitch(parts) for i in enc.encode_ordinary(piece)]
 
 
-def encode_short(raw: bytes, id_col: str, count_only: bool = False):
+def encode_short(raw: bytes, count: bool = False):
+    """(id, text, ...) -> (id, ids), or with count (id, further columns, tokens)."""
+
     def run(batches):
         enc = _encoder(raw)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids = [enc.encode_ordinary(x) if x else [] for x in texts]
-            if count_only:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64())], [id_col, "tokens"])
+            ids = [enc.encode_ordinary(x) if x else [] for x in batch.column(1).to_pylist()]
+            if count:
+                more = list(range(2, batch.num_columns))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(batch.column(k) for k in more), pa.array([len(x) for x in ids], pa.int64())], ["id", *(batch.schema.names[k] for k in more), "tokens"])
             else:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
 
     return run
 
@@ -138,7 +140,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, size: int = CHUNK, overlap:
     """(id, ids) of docs (id, text). Texts of up to size characters are encoded where they lie, without a shuffle."""
     raw = vocabulary(path)
     d = docs.select(F.col("id").cast("long").alias("id"), "text")
-    short = d.where(f"text is null or length(text) <= {size}").mapInArrow(encode_short(raw, "id"), "id long, ids array<int>")
+    short = d.where(f"text is null or length(text) <= {size}").mapInArrow(encode_short(raw), "id long, ids array<int>")
     parts = d.where(f"length(text) > {size}").mapInArrow(_cut(size, overlap), "id long, start long, text string").repartition("id", "start")
     parts = parts.mapInArrow(_bound(), "id long, start long, text string, ends array<long>")
     # one text is one task's work: its ids are one value of one row
@@ -146,10 +148,10 @@ def encode(docs: DataFrame, path: str = VOCABULARY, size: int = CHUNK, overlap:
     return short.unionByName(long)
 
 
-def token_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """(id, tokens) of docs (id, text)."""
-    d = docs.select(F.col("id").cast("long").alias("id"), "text")
-    return d.mapInArrow(encode_short(vocabulary(path), "id", True), "id long, tokens long")
+def token_counts(docs: DataFrame, path: str = VOCABULARY, extra: str | None = None) -> DataFrame:
+    """(id, extra, tokens) of docs (id, text); extra is a string column to carry along."""
+    d = docs.select(F.col("id").cast("long").alias("id"), "text", *([extra] if extra else []))
+    return d.mapInArrow(encode_short(vocabulary(path), True), f"id long, {f'{extra} string, ' if extra else ''}tokens long")
 
 
 def decode(ids: list[int], enc) -> str:
