@@ -13,6 +13,9 @@ A content is *similar* to another if both have at least 30 distinct words and th
 Titles have bands of their own, for pairs that are similar only with their titles' help. Titles that are shared by
 many different contents meet through weaker content bands instead of all pairs.
 
+The joins of segments and word sets are sort-merge joins at every size: what Python makes has no reliable size
+estimate, and a side taken for small would be broadcast whole.
+
 Nulls count as empty texts; empty and short contents are similar to nothing; extra columns are ignored.
 """
 
@@ -115,14 +118,14 @@ def _content_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     a, b = p.segments.alias("a"), q.segments.alias("b")
     near = [F.expr("2 * a.n >= b.n and 2 * b.n >= a.n"), ring_check("a", "b", MOST_BITS)]
     order = [F.expr("a.rep < b.rep")] if p is q else []
-    j = a.join(b, [F.expr("a.key = b.key"), *order, *near])
+    j = a.join(b.hint("merge"), [F.expr("a.key = b.key"), *order, *near])
     return j.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
 
 def _title_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     a, b = p.title_segments.alias("a"), q.title_segments.alias("b")
     order = [F.expr("a.tid < b.tid")] if p is q else [F.expr("a.tid <> b.tid")]
-    near = a.join(b, [F.expr("a.key = b.key"), *order, ring_check("a", "b", MOST_TITLE_BITS, 2)])
+    near = a.join(b.hint("merge"), [F.expr("a.key = b.key"), *order, ring_check("a", "b", MOST_TITLE_BITS, 2)])
     near = near.select(F.col("a.tid").alias("ta"), F.col("b.tid").alias("tb")).distinct()
     ta = p.titles.select(F.col("tid").alias("ta"), F.col("title").alias("xa"), F.col("m").alias("ma"))
     tb = q.titles.select(F.col("tid").alias("tb"), F.col("title").alias("xb"), F.col("m").alias("mb"))
@@ -153,7 +156,7 @@ def class_pairs(p: WordIndex, q: WordIndex | None = None) -> DataFrame:
     c = _content_candidates(p, q).union(_title_candidates(p, q)).distinct()
     ta = p.classes.select(F.col("rep").alias("a"), F.col("tokens").alias("xa"))
     tb = q.classes.select(F.col("rep").alias("b"), F.col("tokens").alias("xb"))
-    j = c.join(ta, "a").join(tb, "b").withColumn("i", F.size(F.array_intersect("xa", "xb")))
+    j = c.join(ta.hint("merge"), "a").join(tb.hint("merge"), "b").withColumn("i", F.size(F.array_intersect("xa", "xb")))
     j = j.select("a", "b", (F.col("i") / (F.size("xa") + F.size("xb") - F.col("i"))).alias("jaccard"))
     return cut(j.where(F.col("jaccard") >= J_TITLED))
 
