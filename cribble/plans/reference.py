@@ -1,31 +1,330 @@
-"""Queries of the reference's own operators."""
+"""Queries of the reference's own operators: texts, addresses, filters, deduplication, tables and their changes."""
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from cribble.functions import text as tx, urls as ur
+from cribble.functions.clean import clean_article
+from cribble.operators import dedup, filters, store
+from cribble.plans import reports
 from cribble.sources.tables import table
 
+#: The fixed present of queries with ages.
+NOW = datetime(2025, 9, 1)
+DATES = (date(2024, 1, 1), date(2025, 6, 30))
+BLOCKED = ["narae-news.example", "solbit-blog.example"]
+CLEANING = {
+    "leading_short_line_max_length": 12, "leading_short_line_max_count": 5, "trailing_section_markers": ["저작권자", "무단전재"], "trailing_bullet_prefixes": ["▶", "■", "-"],
+    "trailing_bullet_min_run": 2, "trailing_search_window": 15, "remove_duplicate_paragraphs": True, "duplicate_paragraph_min_length": 30,
+}
+Q: dict = {}
+SQL: dict = {}
+# The same patterns in the oracle's dialect.
+S = {
+    "ws": r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]",
+    "norm": r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '\r\n?', chr(10), 'g'), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^{ws}+|{ws}+$', '', 'g')",
+}
+
+
+def norm_sql(x: str) -> str:
+    return S["norm"].format(x=x, ws=S["ws"])
+
+
+def title_sql(x: str) -> str:
+    x = rf"regexp_replace(regexp_replace(regexp_replace({x}, '\[[^\]]{{0,12}}\]', '', 'g'), '{S['ws']}*[-|·]{S['ws']}*[^-|·]{{1,20}}$', ''), '(모바일|재게시|전재|송고){S['ws']}*[:\-]?{S['ws']}*', '', 'g')"
+    x = rf"regexp_replace({x}, '(!)!+|(\?)\?+|(\.)\.+|(…)…+|(,),+|(~)~+', '\1\2\3\4\5\6', 'g')"
+    return f"regexp_replace(regexp_replace({x}, '{S['ws']}+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        Q[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# -- texts and addresses
+
+
+@query(f"SELECT id, {norm_sql('content')} AS content FROM contents")
+def normalize_whitespace(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", tx.normalize_whitespace(F.col("content")).alias("content"))
+
+
+@query(f"SELECT id, sha256(lower({norm_sql('title || chr(10) || content')})) AS digest, content_hash AS stored FROM contents")
+def content_hash(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", tx.content_hash(F.col("title"), F.col("content")).alias("digest"), F.col("content_hash").alias("stored"))
+
+
+@query(f"SELECT id, {title_sql('title')} AS title FROM contents")
+def normalize_title(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", tx.normalize_title(F.col("title")).alias("title"))
+
+
+@query(f"SELECT id, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(content, '{S['ws']}+'), lambda x: x <> ''))), ' ') AS fingerprint FROM contents")
+def content_fingerprint(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", tx.fingerprint(F.col("content")).alias("fingerprint"))
+
+
+@query("SELECT id, normalized_url AS url FROM discarded_candidates")
+def normalize_url(s: SparkSession, d: str) -> DataFrame:
+    """The stored normalised address is the oracle."""
+    return table(s, d, "discarded_candidates").select("id", ur.normalize_url(F.col("original_url")).alias("url"))
+
+
+@query("SELECT d.id, c.canonical_url AS url FROM content_discoveries d JOIN contents c ON c.id = d.content_id")
+def discovered_url(s: SparkSession, d: str) -> DataFrame:
+    c = table(s, d, "contents").select(F.col("id").alias("content_id"))
+    return table(s, d, "content_discoveries").join(c, "content_id", "left_semi").select("id", ur.normalize_url(F.col("returned_url")).alias("url"))
+
+
+@query("SELECT id, regexp_matches(normalized_url, '^[a-z][a-z0-9+.-]*://[^/?#]*/$') AS homepage, regexp_extract(original_url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1) AS domain FROM discarded_candidates")
+def homepage_and_domain(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "discarded_candidates").select("id", ur.is_homepage(F.col("normalized_url")).alias("homepage"), ur.authority(F.col("original_url")).alias("domain"))
+
+
+@query(
+    """WITH h AS (SELECT id, regexp_replace(regexp_replace(lower(source_domain), ':.*$', ''), '\\.+$', '') AS h FROM contents)
+SELECT id, h IN ('narae-news.example', 'solbit-blog.example') OR ends_with(h, '.narae-news.example') OR ends_with(h, '.solbit-blog.example') AS blocked FROM h"""
+)
+def blacklist_filter(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", ur.is_blocked(F.col("source_domain"), BLOCKED).alias("blocked"))
+
+
+DATE_SQL = r"CASE WHEN regexp_matches(published_date, '^\d{4}-\d{2}-\d{2}$') THEN try_cast(published_date AS DATE) END"
+
+
+@query(f"SELECT id, coalesce({DATE_SQL} BETWEEN DATE '2024-01-01' AND DATE '2025-06-30', true) AS ok FROM contents")
+def date_range_filter(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", filters.in_dates(F.col("published_date"), *DATES).alias("ok"))
+
+
+RATIO_SQL = f"(len(regexp_replace(t, '[^가-힣]', '', 'g')) / nullif(len(t), 0))"
+STRIPPED_SQL = f"regexp_replace(title || ' ' || content, '^{S['ws']}+|{S['ws']}+$', '', 'g')"
+
+
+@query(f"SELECT id, coalesce({RATIO_SQL} >= 0.3, false) AS ok FROM (SELECT id, {STRIPPED_SQL} AS t FROM contents)")
+def script_ratio_filter(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", filters.enough_script(F.col("title"), F.col("content")).alias("ok"))
+
+
+CASCADE_SQL = f"""SELECT id, CASE WHEN h IN ('narae-news.example', 'solbit-blog.example') OR ends_with(h, '.narae-news.example') OR ends_with(h, '.solbit-blog.example') THEN 'blacklisted_domain'
+  WHEN NOT coalesce({DATE_SQL} BETWEEN DATE '2024-01-01' AND DATE '2025-06-30', true) THEN 'date_out_of_range'
+  WHEN NOT coalesce({RATIO_SQL} >= 0.3, false) THEN 'low_korea_relevance' END AS reason
+FROM (SELECT *, regexp_replace(regexp_replace(lower(source_domain), ':.*$', ''), '\\.+$', '') AS h, {STRIPPED_SQL} AS t FROM contents)"""
+
+
+@query(CASCADE_SQL)
+def filter_cascade(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", filters.cascade(*DATES, BLOCKED).alias("reason"))
+
+
+@query(f"SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n FROM ({CASCADE_SQL}) GROUP BY ALL")
+def cascade_summary(s: SparkSession, d: str) -> DataFrame:
+    return filter_cascade(s, d).groupBy(F.coalesce("reason", F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("n"))
+
 
+@query()
+def clean_articles(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").select("id", clean_article(F.col("content"), CLEANING).alias("content"))
+
+
+@query(
+    """WITH t AS (SELECT id, regexp_replace(coalesce(title_normalized, ''), '\\s', '', 'g') AS x FROM contents),
+g AS (SELECT id, CASE WHEN len(x) = 1 THEN [x] ELSE list_transform(range(1, greatest(len(x), 1)), lambda i: x[i:i + 1]) END AS g FROM t),
+j AS (SELECT a.id, a.g AS ga, b.g AS gb FROM g a JOIN g b ON b.id = a.id + 1),
+n AS (SELECT *, list_sum(list_transform(ga, lambda y: len(list_filter(gb, lambda z: z = y)))) AS ab, list_sum(list_transform(ga, lambda y: len(list_filter(ga, lambda z: z = y)))) AS aa,
+  list_sum(list_transform(gb, lambda y: len(list_filter(gb, lambda z: z = y)))) AS bb FROM j)
+SELECT id, CASE WHEN len(ga) > 0 AND len(gb) > 0 THEN round(ab / (sqrt(aa) * sqrt(bb)), 9) ELSE 0.0 END AS similarity FROM n"""
+)
+def title_cosine(s: SparkSession, d: str) -> DataFrame:
+    """Titles of records with neighbouring ids."""
+    t = table(s, d, "contents").select("id", F.col("title_normalized").alias("t"))
+    n = t.select((F.col("id") - 1).alias("id"), F.col("t").alias("u"))
+    return t.join(n, "id").select("id", F.round(tx.title_cosine(F.col("t"), F.col("u")), 9).alias("similarity"))
+
+
+@query(
+    """WITH w AS (SELECT incoming_id, content_id, i.content AS x, c.content AS y FROM incoming_contents i JOIN (SELECT min(id) AS content_id, content_hash FROM contents GROUP BY 2) m USING (content_hash) JOIN contents c ON c.id = m.content_id),
+f AS (SELECT incoming_id, content_id, list_distinct(list_filter(regexp_split_to_array(x, '\\s+'), lambda z: z <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(y, '\\s+'), lambda z: z <> '')) AS b FROM w)
+SELECT incoming_id, content_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) ELSE 0.0 END AS similarity FROM f"""
+)
+def exact_duplicates(s: SparkSession, d: str) -> DataFrame:
+    """Incoming records whose digest is stored, with the least such record and the bodies' similarity."""
+    c = table(s, d, "contents")
+    first = c.groupBy("content_hash").agg(F.min_by("content", "id").alias("y"), F.min("id").alias("content_id"))
+    j = table(s, d, "incoming_contents").select("incoming_id", "content_hash", F.col("content").alias("x")).join(first, "content_hash")
+    return j.select("incoming_id", "content_id", tx.jaccard(tx.words(F.col("x")), tx.words(F.col("y"))).alias("similarity"))
+
+
+# -- deduplication and changes of tables
+
+
+@query("SELECT content_hash, min(id) AS first_id, count(*) AS n FROM contents GROUP BY content_hash HAVING count(*) > 1")
+def duplicate_groups(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "contents").groupBy("content_hash").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+
+
+@query("SELECT id, normalized_url, reason FROM (SELECT *, row_number() OVER (PARTITION BY normalized_url ORDER BY discarded_at, id) AS k FROM discarded_candidates) WHERE k = 1")
+def first_discard_per_url(s: SparkSession, d: str) -> DataFrame:
+    return store.first_per_key(table(s, d, "discarded_candidates").select("id", "normalized_url", "reason", "discarded_at"), ["normalized_url"], F.col("discarded_at"), F.col("id")).drop("discarded_at")
+
+
+@query(
+    """WITH n AS (SELECT normalized_url AS url, max(discarded_at) AS seen FROM discarded_candidates GROUP BY 1)
+SELECT c.canonical_url AS url, false AS created, greatest(c.last_discovered_at, n.seen) AS seen FROM contents c LEFT JOIN n ON n.url = c.canonical_url
+UNION ALL SELECT url, true, seen FROM n WHERE url NOT IN (SELECT canonical_url FROM contents)"""
+)
+def upsert_first_wins(s: SparkSession, d: str) -> DataFrame:
+    """Discarded addresses seen as sightings of contents."""
+    old = table(s, d, "contents").select(F.col("canonical_url").alias("url"), F.col("last_discovered_at").alias("seen"))
+    new = table(s, d, "discarded_candidates").select(F.col("normalized_url").alias("url"), F.col("discarded_at").alias("seen"), "id")
+    return store.first_wins(old, new, "url", "seen", F.col("seen"), F.col("id"))
+
+
+@query(
+    """SELECT content_id, taxonomy_lv2, type_name, decision FROM (
+  SELECT q.content_id, s.taxonomy_lv2, s.type_name, 'pending' AS decision, row_number() OVER (PARTITION BY q.content_id, s.taxonomy_lv2, s.type_name ORDER BY q.id) AS k
+  FROM content_discoveries q JOIN search_queries s ON s.id = q.query_id WHERE NOT EXISTS (
+    SELECT 1 FROM content_taxonomy_mappings m WHERE m.content_id = q.content_id AND m.taxonomy_lv2 = s.taxonomy_lv2 AND m.type_name = s.type_name)) WHERE k = 1"""
+)
+def insert_ignore_mappings(s: SparkSession, d: str) -> DataFrame:
+    q = table(s, d, "search_queries").select(F.col("id").alias("query_id"), "taxonomy_lv2", "type_name")
+    new = table(s, d, "content_discoveries").select("id", "content_id", "query_id").join(q, "query_id").withColumn("decision", F.lit("pending"))
+    keys = ["content_id", "taxonomy_lv2", "type_name"]
+    return store.insert_ignore(table(s, d, "content_taxonomy_mappings"), new, keys, F.col("id")).select(*keys, "decision")
+
+
+@query("SELECT run_id, content_id, taxonomy_lv2, type_name, max(scored_at) AS scored_at FROM content_quality_scores GROUP BY ALL")
+def upsert_last_wins(s: SparkSession, d: str) -> DataFrame:
+    c = table(s, d, "content_quality_scores").select("run_id", "content_id", "taxonomy_lv2", "type_name", "scored_at")
+    keys = ["run_id", "content_id", "taxonomy_lv2", "type_name"]
+    return store.last_wins(c.where("content_id % 2 = 0"), c, keys, "scored_at")
+
+
+@query(
+    """WITH b AS (SELECT type_name, source_domain AS d FROM content_taxonomy_mappings m JOIN contents c ON c.id = m.content_id WHERE status = 'accepted' GROUP BY ALL),
+l AS (SELECT type_name, source_domain AS d, max(collected_at) AS last_used_at FROM content_taxonomy_mappings m JOIN contents c ON c.id = m.content_id WHERE decision = 'excluded' GROUP BY ALL)
+SELECT b.type_name, b.d AS domain, l.last_used_at FROM b LEFT JOIN l USING (type_name, d)"""
+)
+def sync_set(s: SparkSession, d: str) -> DataFrame:
+    """Domains of a type made anew, with what is known of those that stay."""
+    j = table(s, d, "content_taxonomy_mappings").join(table(s, d, "contents").select(F.col("id").alias("content_id"), F.col("source_domain").alias("domain"), "status", "collected_at"), "content_id")
+    new = j.where("status = 'accepted'").select("type_name", "domain").distinct()
+    old = j.where("decision = 'excluded'").groupBy("type_name", "domain").agg(F.max("collected_at").alias("last_used_at"))
+    return store.sync_set(old, new, ["type_name", "domain"], ["last_used_at"])
+
+
+@query("SELECT d.* EXCLUDE (requested_date_from, requested_date_to) FROM discarded_candidates d WHERE NOT EXISTS (SELECT 1 FROM contents c WHERE c.canonical_url = d.normalized_url)")
+def not_stored_yet(s: SparkSession, d: str) -> DataFrame:
+    keys = table(s, d, "contents").select(F.col("canonical_url").alias("normalized_url"))
+    return store.delete_keys(table(s, d, "discarded_candidates").drop("requested_date_from", "requested_date_to"), keys)
+
+
+@query("SELECT id, query_text, provider FROM search_queries WHERE provider = 'tavily' AND status IN ('generated', 'user_edited', 'user_created', 'unused', 'used')")
+def active_queries(s: SparkSession, d: str) -> DataFrame:
+    q = store.matching(table(s, d, "search_queries"), provider="tavily", taxonomy_lv2=None)
+    return q.where(F.col("status").isin("generated", "user_edited", "user_created", "unused", "used")).select("id", "query_text", "provider")
+
+
+@query()
+def greedy_two_key_dedup(s: SparkSession, d: str) -> DataFrame:
+    """Discards taken by id, at most one for an address and one for an (original address, reason)."""
+    t = table(s, d, "discarded_candidates").select("id", "normalized_url", F.concat_ws("|", F.lower("source_domain"), "reason", F.date_trunc("day", "discarded_at").cast("string")).alias("k2"))
+    return dedup.greedy_two_key(t, "id", "normalized_url", "k2")
+
+
+@query(
+    """SELECT taxonomy_lv2, type_name, id, title, coalesce(published_date, '') AS date, canonical_url AS url, source_domain FROM (
+  SELECT taxonomy_lv2, type_name, c.*, row_number() OVER (PARTITION BY taxonomy_lv2, type_name, content_hash ORDER BY published_date NULLS LAST, c.id) AS k
+  FROM content_taxonomy_mappings m JOIN contents c ON c.id = m.content_id WHERE c.status = 'accepted' AND m.decision = 'accepted') WHERE k = 1"""
+)
 def export_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted contents of each (lv2, type), the first of each digest by date (unknown last) and id."""
     c = table(spark, sf_dir, "contents").where("status = 'accepted'")
-    m = table(spark, sf_dir, "content_taxonomy_mappings").where("decision = 'accepted'")
-    m = m.select("content_id", "taxonomy_lv2", "type_name")
+    m = table(spark, sf_dir, "content_taxonomy_mappings").where("decision = 'accepted'").select("content_id", "taxonomy_lv2", "type_name")
     j = m.join(c.select("id", "title", "published_date", "canonical_url", "source_domain", "content_hash"), F.col("content_id") == F.col("id"))
-    w = Window.partitionBy("taxonomy_lv2", "type_name", "content_hash").orderBy(F.col("published_date").asc_nulls_last(), "id")
-    first = j.withColumn("k", F.row_number().over(w)).where("k = 1")
+    first = store.first_per_key(j, ["taxonomy_lv2", "type_name", "content_hash"], F.col("published_date").asc_nulls_last(), F.col("id"))
     return first.select("taxonomy_lv2", "type_name", "id", "title", F.coalesce("published_date", F.lit("")).alias("date"), F.col("canonical_url").alias("url"), "source_domain")
 
 
+@query("SELECT content_id, taxonomy_lv2, type_name, CASE WHEN s.bad THEN 'excluded' ELSE decision END AS decision FROM content_taxonomy_mappings m LEFT JOIN (SELECT content_id, taxonomy_lv2, type_name, bool_or(overall < 2.5) AS bad FROM content_quality_scores GROUP BY ALL) s USING (content_id, taxonomy_lv2, type_name)")
+def quality_gate(s: SparkSession, d: str) -> DataFrame:
+    """Accepted mappings with a score below 2.5 are demoted."""
+    keys = ["content_id", "taxonomy_lv2", "type_name"]
+    low = table(s, d, "content_quality_scores").groupBy(*keys).agg(F.bool_or(F.col("overall") < 2.5).alias("bad"))
+    return table(s, d, "content_taxonomy_mappings").join(low, keys, "left").select(*keys, F.when(F.col("bad") & (F.col("decision") == "accepted"), "excluded").otherwise(F.col("decision")).alias("decision"))
+
+
+@query(
+    """SELECT i.incoming_id, CASE WHEN c.id IS NULL THEN 'new' WHEN m.content_id IS NOT NULL THEN 'duplicate' ELSE 'reuse' END AS way
+FROM incoming_contents i LEFT JOIN contents c ON c.content_hash = i.content_hash AND c.id = (SELECT min(id) FROM contents x WHERE x.content_hash = i.content_hash)
+LEFT JOIN (SELECT DISTINCT content_id FROM content_taxonomy_mappings WHERE decision = 'accepted') m ON m.content_id = c.id"""
+)
+def reuse_or_fetch(s: SparkSession, d: str) -> DataFrame:
+    """A known body not yet accepted for a type is filtered again, an accepted one is a duplicate."""
+    c = table(s, d, "contents").groupBy("content_hash").agg(F.min("id").alias("content_id"))
+    m = table(s, d, "content_taxonomy_mappings").where("decision = 'accepted'").select("content_id", F.lit(True).alias("mapped")).distinct()
+    j = table(s, d, "incoming_contents").select("incoming_id", "content_hash").join(c, "content_hash", "left").join(m, "content_id", "left")
+    return j.select("incoming_id", F.when(F.col("content_id").isNull(), "new").when(F.col("mapped"), "duplicate").otherwise("reuse").alias("way"))
+
+
+@query(
+    """SELECT id, CASE WHEN k > 1 THEN 'duplicate_within_batch' WHEN regexp_matches(query_text, '(19|20)[0-9]{2}년?|최근|작년|올해') THEN 'date_expression' WHEN contains(query_text, 'site:') THEN 'site_operator'
+  WHEN provider = 'serpapi' AND len(list_filter(string_split(query_text, ' '), lambda x: x <> '')) > 3 THEN 'too_many_words' WHEN len(query_text) > 30 THEN 'too_long' END AS rejected
+FROM (SELECT *, row_number() OVER (PARTITION BY provider, taxonomy_lv2, type_name, query_text ORDER BY id) AS k FROM search_queries)"""
+)
+def query_text_validator(s: SparkSession, d: str) -> DataFrame:
+    t = F.col("query_text")
+    w = Window.partitionBy("provider", "taxonomy_lv2", "type_name", "query_text").orderBy("id")
+    many = (F.col("provider") == "serpapi") & (F.size(F.filter(F.split(t, " "), lambda x: x != "")) > 3)
+    why = F.when(F.col("k") > 1, "duplicate_within_batch").when(t.rlike("(19|20)[0-9]{2}년?|최근|작년|올해"), "date_expression").when(t.contains("site:"), "site_operator").when(many, "too_many_words").when(F.length(t) > 30, "too_long")
+    return table(s, d, "search_queries").withColumn("k", F.row_number().over(w)).select("id", why.alias("rejected"))
+
+
+@query("SELECT id, query_text || ' ' || y AS query_text FROM search_queries, (SELECT unnest(range(2024, 2026)) AS y) WHERE status = 'used' AND len(query_text) <= 12")
+def year_variants(s: SparkSession, d: str) -> DataFrame:
+    q = table(s, d, "search_queries").where("status = 'used' and length(query_text) <= 12")
+    years = F.explode(F.sequence(F.lit(DATES[0].year), F.lit(DATES[1].year)))
+    return q.select("id", "query_text", years.alias("y")).select("id", F.concat_ws(" ", "query_text", "y").alias("query_text"))
+
+
+@query(
+    """SELECT type_name, list_sort(list_distinct(list_filter(flatten(list(string_split(query_text, ' '))), lambda t: len(t) BETWEEN 1 AND 12 AND NOT regexp_matches(t, '[0-9]|@|https?|www\\.')))) AS terms
+FROM search_queries GROUP BY type_name"""
+)
+def safe_terms(s: SparkSession, d: str) -> DataFrame:
+    q = table(s, d, "search_queries").select("type_name", F.explode(F.split("query_text", " ")).alias("t"))
+    q = q.where((F.length("t").between(1, 12)) & ~F.col("t").rlike(r"(?U)\d|@|https?|www\."))
+    return q.groupBy("type_name").agg(F.sort_array(F.collect_set("t")).alias("terms"))
+
+
+@query(
+    """WITH d AS (SELECT DISTINCT type_name, source_domain AS d FROM content_taxonomy_mappings m JOIN contents c ON c.id = m.content_id),
+a AS (SELECT type_name, list_sort(list(d)) AS d FROM d GROUP BY 1),
+n AS (SELECT *, len(d) AS n FROM a)
+SELECT type_name, CAST(i AS INTEGER) AS bundle, list_slice(list_concat(d, d), i + 1, i + 3) AS domains FROM (SELECT *, unnest(CASE WHEN n <= 3 THEN [0] ELSE range(n) END) AS i FROM n) WHERE n > 3
+UNION ALL SELECT type_name, 0, d FROM n WHERE n <= 3"""
+)
+def domain_bundles(s: SparkSession, d: str) -> DataFrame:
+    """Rolling circular windows of three domains of each type; up to three make one bundle."""
+    c = table(s, d, "contents").select(F.col("id").alias("content_id"), "source_domain")
+    a = table(s, d, "content_taxonomy_mappings").join(c, "content_id").groupBy("type_name").agg(F.sort_array(F.collect_set("source_domain")).alias("d"))
+    n = F.size("d")
+    starts = F.when(n <= 3, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))
+    b = a.select("type_name", "d", F.explode(starts).alias("bundle"))
+    return b.select("type_name", "bundle", F.when(n <= 3, F.col("d")).otherwise(F.slice(F.concat("d", "d"), F.col("bundle") + 1, 3)).alias("domains"))
+
+
 def queries() -> dict:
-    return {"export_by_type": export_by_type}
+    return {**Q, **reports.Q}
 
 
 def oracle_sql() -> dict:
-    return {
-        "export_by_type": """
-SELECT taxonomy_lv2, type_name, id, title, coalesce(published_date, '') AS date, canonical_url AS url, source_domain FROM (
-  SELECT *, row_number() OVER (PARTITION BY taxonomy_lv2, type_name, content_hash ORDER BY published_date NULLS LAST, id) AS k
-  FROM content_taxonomy_mappings m JOIN contents c ON c.id = m.content_id WHERE c.status = 'accepted' AND m.decision = 'accepted') WHERE k = 1"""
-    }
+    return {**SQL, **reports.SQL}
