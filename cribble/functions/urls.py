@@ -28,7 +28,7 @@ def _unquoted(x: Column) -> Column:
 def _unescaped(q: Column) -> Column:
     """Script escapes (backslash, u, four hex digits) left in a query become their characters."""
     q = F.regexp_replace(q, r"(?i)%5cu003d([^&#=]+)=?(?=&|#|\z)", "=$1")
-    q = F.regexp_replace(q, r"(?i)%5cu(?=[0-9a-f]{4})", r"\\\\u")
+    q = F.regexp_replace(q, r"(?i)%5cu(?=[0-9a-f]{4})", r"\\u")
     parts = F.split(q, r"(?=\\u[0-9a-fA-F]{4})")
 
     def one(p: Column) -> Column:
