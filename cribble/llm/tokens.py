@@ -74,6 +74,8 @@ def stitch(chunks: list[tuple[int, str, list[int]]]) -> list[str]:
         stop = at + len(text)
         common = sorted(x for x in set(ends) & set(cuts) if nxt < x < stop)
         common = common[: max(0, len(common) - 2)] if nxt + len(more) > stop else common
+        # white space before a boundary is split by what follows it, which a piece that ends there wouldn't see
+        common = [x for x in common if not text[x - 1 - at].isspace()]
         if common:
             s = common[len(common) // 2]
             out.append(text[begin - at : s - at])
