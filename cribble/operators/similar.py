@@ -65,15 +65,19 @@ def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
 class WordIndex:
     """Contents as word-set classes with their segments.
 
-    docs: id BIGINT, title (normalised) STRING, content STRING; further columns are ignored.
+    docs: id BIGINT, title (normalised) STRING, content STRING; further columns are ignored. least: distinct words
+    that a content must have. bands, most_bits: how many bands the sketch has and how many of its bits may differ.
     """
 
     docs: DataFrame
+    least: int = sketch.MIN_WORDS
+    bands: int = sketch.BANDS
+    most_bits: int = MOST_BITS
 
     @cached_property
     def sets(self) -> DataFrame:
         d = self.docs.select(F.col("id").cast("long").alias("id"), "title", "content")
-        return d.mapInArrow(sketch.word_sets, sketch.WORD_SETS)
+        return d.mapInArrow(sketch.word_sets(self.least), sketch.WORD_SETS)
 
     @cached_property
     def classes(self) -> DataFrame:
@@ -90,7 +94,7 @@ class WordIndex:
     @cached_property
     def segments(self) -> DataFrame:
         """key (of a band at its position), rep, n, s0..s3."""
-        k = self.classes.mapInArrow(sketch.content_bands, sketch.CONTENT_BANDS)
+        k = self.classes.mapInArrow(sketch.content_bands(self.bands), sketch.CONTENT_BANDS)
         return k.select(F.explode("bands").alias("key"), "rep", "n", "s0", "s1", "s2", "s3")
 
     @cached_property
@@ -116,7 +120,7 @@ class WordIndex:
 
 def _content_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     a, b = p.segments.alias("a"), q.segments.alias("b")
-    near = [F.expr("2 * a.n >= b.n and 2 * b.n >= a.n"), ring_check("a", "b", MOST_BITS)]
+    near = [F.expr("a.n >= 0.44 * b.n and b.n >= 0.44 * a.n"), ring_check("a", "b", p.most_bits)]
     order = [F.expr("a.rep < b.rep")] if p is q else []
     j = a.join(b.hint("merge"), [F.expr("a.key = b.key"), *order, *near])
     return j.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
@@ -161,10 +165,10 @@ def class_pairs(p: WordIndex, q: WordIndex | None = None) -> DataFrame:
     return cut(j.where(F.col("jaccard") >= J_TITLED))
 
 
-def titled_nodes(pairs: DataFrame, p: WordIndex, q: WordIndex | None = None) -> DataFrame:
-    """a, xa, b, xb: classes with a title each, of pairs below 0.5 whose titles are close enough."""
+def titled_nodes(pairs: DataFrame, p: WordIndex, q: WordIndex | None = None, alone: float = J_ALONE) -> DataFrame:
+    """a, xa, b, xb: classes with a title each, of pairs below alone whose titles are close enough."""
     q = q or p
-    low = pairs.where(F.col("jaccard") < J_ALONE).select("a", "b")
+    low = pairs.where(F.col("jaccard") < alone).select("a", "b", "jaccard")
     na = p.nodes.select(F.col("rep").alias("a"), F.col("title").alias("xa"))
     nb = q.nodes.select(F.col("rep").alias("b"), F.col("title").alias("xb"))
     return low.join(na, "a").join(nb, "b").where(cosine("xa", "xb") >= TITLE_COSINE)

@@ -54,17 +54,22 @@ def bits(mins: np.ndarray) -> np.ndarray:
     return np.packbits((mins & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
-def word_sets(batches):
-    """(id, title, content) -> (id, title, cls, tokens), without contents of fewer than MIN_WORDS words.
+def word_sets(least: int = MIN_WORDS):
+    """(id, title, content) -> (id, title, cls, tokens), without contents of fewer than least words.
 
     cls is a 128-bit digest of the word set, tokens its sorted 64-bit hashes.
     """
+
+    return lambda batches: _word_sets(batches, least)
+
+
+def _word_sets(batches, least: int):
     cache: dict = {}
     for batch in batches:
         rows: list = [[], [], [], []]
         for i, t, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
             found = set(x.split()) if x else ()
-            if len(found) < MIN_WORDS:
+            if len(found) < least:
                 continue
             h = np.sort(_hashes(found, cache))
             for col, v in zip(rows, (i, t or "", xxhash.xxh3_128_digest(h.tobytes()), h.view(np.int64))):
@@ -86,9 +91,13 @@ def _lists(rows: list) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * width, pa.int32()), pa.array(flat))
 
 
-def content_bands(batches):
+def content_bands(bands: int = BANDS):
     """(rep, tokens) -> (rep, n, s0..s3, bands): the set's size, 256 sketch bits and the keys of the bands."""
-    a, b = _coefficients(BANDS * ROWS, 11)
+    return lambda batches: _content_bands(batches, bands)
+
+
+def _content_bands(batches, bands: int):
+    a, b = _coefficients(bands * ROWS, 11)
     for batch in batches:
         sigs, keys = [], []
         tokens = batch.column(1)
@@ -96,7 +105,7 @@ def content_bands(batches):
         for i in range(len(tokens)):
             m = minhash(values[ends[i] : ends[i + 1]], a, b)
             sigs.append(bits(m[:256]))
-            keys.append(band_keys(m, BANDS, ROWS, 1))
+            keys.append(band_keys(m, bands, ROWS, 1))
         s = np.array(sigs, dtype=np.int64).reshape(-1, 4)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int32()), *(pa.array(s[:, j]) for j in range(4)), _lists(keys)], ["rep", "n", "s0", "s1", "s2", "s3", "bands"])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cribble.functions import text as tx, urls as ur
 from cribble.functions.clean import clean_article
-from cribble.operators import dedup, filters, store
+from cribble.operators import dedup, filters, neardup, store
 from cribble.plans import reports
 from cribble.sources.tables import table
 
@@ -322,6 +322,28 @@ def domain_bundles(s: SparkSession, d: str) -> DataFrame:
     return b.select("type_name", "bundle", F.when(n <= 3, F.col("d")).otherwise(F.slice(F.concat("d", "d"), F.col("bundle") + 1, 3)).alias("domains"))
 
 
+WORDS_SQL = "list_distinct(list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> ''))"
+GRAMS_SQL = "CASE WHEN len({x}) = 1 THEN [{x}] ELSE list_transform(range(1, greatest(len({x}), 1)), lambda z: {x}[z:z + 1]) END"
+
+
+@query(
+    f"""WITH d AS (SELECT id, {WORDS_SQL} AS t, coalesce(title_normalized, '') AS x FROM contents),
+u AS (SELECT id, len(t) AS n, unnest(t) AS k FROM d),
+c AS (SELECT a.id AS id, b.id AS o, count(*) / (a.n + b.n - count(*)) AS j FROM u a JOIN u b ON a.k = b.k AND b.id < a.id GROUP BY a.id, b.id, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.35),
+s AS (SELECT c.*, regexp_replace(p.x, '\\s', '', 'g') AS xa, regexp_replace(q.x, '\\s', '', 'g') AS xb FROM c JOIN d p ON p.id = c.id JOIN d q ON q.id = c.o),
+g AS (SELECT *, {GRAMS_SQL.format(x='xa')} AS ga, {GRAMS_SQL.format(x='xb')} AS gb FROM s),
+v AS (SELECT *, list_sum(list_transform(ga, lambda y: len(list_filter(gb, lambda z: z = y)))) / (sqrt(list_sum(list_transform(ga, lambda y: len(list_filter(ga, lambda z: z = y))))) * sqrt(list_sum(list_transform(gb, lambda y: len(list_filter(gb, lambda z: z = y)))))) AS cos FROM g),
+f AS (SELECT x, min(id) AS m FROM d WHERE x <> '' GROUP BY 1),
+e AS (SELECT d.id, f.m AS matched_id FROM d JOIN f USING (x) WHERE f.m < d.id)
+SELECT id, matched_id, true AS by_title, CAST(NULL AS DOUBLE) AS jaccard FROM e
+UNION ALL SELECT id, o, false, round(j, 9) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY j DESC, o) AS k FROM v WHERE j >= 0.45 OR (j >= 0.35 AND len(ga) > 0 AND len(gb) > 0 AND cos >= 0.9)) WHERE k = 1 AND id NOT IN (SELECT id FROM e)"""
+)
+def near_duplicate_check(s: SparkSession, d: str) -> DataFrame:
+    """Each stored record against all before it."""
+    v = neardup.verdicts(table(s, d, "contents").select("id", F.col("title_normalized").alias("title"), "content"))
+    return v.select("id", "matched_id", "by_title", F.round("jaccard", 9).alias("jaccard"))
+
+
 def queries() -> dict:
     return {**Q, **reports.Q}
 
