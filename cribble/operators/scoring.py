@@ -12,7 +12,7 @@ HALF_LIFE_DAYS, NEUTRAL = 14.0, 0.5
 def decay(ts: Column, now: datetime) -> Column:
     """0.5 to the power of age over half-life; no age below 0; 0 for an unknown time."""
     age = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(ts.cast("timestamp"))) / 86_400_000_000.0
-    return F.coalesce(F.pow(F.lit(0.5), F.greatest(age, F.lit(0.0)) / HALF_LIFE_DAYS), F.lit(0.0))
+    return F.when(ts.isNull(), F.lit(0.0)).otherwise(F.pow(F.lit(0.5), F.greatest(age, F.lit(0.0)) / HALF_LIFE_DAYS))
 
 
 def faded_mean(events: DataFrame, key: str, now: datetime) -> DataFrame:
