@@ -5,9 +5,9 @@ Two kinds of evidence:
 * The end itself: a mark of a cut behind a broken sentence, a broken entity, tag, escape or character, or a last
   sentence that neither closes nor is a usual ending (sign-off, list item, notice, tag, caption).
 * A longer copy: by a self-join on hashed prefixes of fixed length, texts are found that are strict prefixes of a
-  longer text. Every text puts out the hash of its prefixes of 64, 128, ... characters with the characters after
-  each; a suspect looks up its longest such prefix and compares the rest, so no texts travel whole, and equal rows
-  are merged first, so that copies don't multiply.
+  longer text. Texts that begin with the first 32 characters of a suspect put out the hash of their prefixes of 32,
+  64, ... characters with the characters after each; a suspect looks up its longest such prefix and compares the
+  rest. Equal rows are merged first, so that copies don't multiply. Suspects of up to 32 characters aren't looked up.
 
 Ends that could be either (a plain verb form without a stop) count as cut only with a longer copy. Null, empty and
 blank texts are not cut.
@@ -20,7 +20,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-STEP = 64
+STEP = 32
+#: The end of a text that is looked at; what closes or breaks a text is shorter.
+TAIL_CHARS = 160
 
 # Marks that a field limit or a list page leaves behind a cut text.
 MARK = re.compile(r"\s*(?:(?:\.{2,}|…+)\s*)?(?:\[?\s*(?:전문보기|전문 보기|더보기|더 보기|계속 읽기|read more|more|continue reading|continued)\s*\]?|\((?:계속|중략|이하 생략|continued|more)\))\s*$|\s*(?:\.{3,}|…+)\s*$", re.I)
@@ -45,6 +47,9 @@ def judge(text: str) -> int:
     t = text.rstrip()
     if not t:
         return 0
+    if t[-1] in ".!?" and t[-2:] != "..":
+        return 0
+    t = t[-TAIL_CHARS:]
     if BROKEN.search(t) and not CLOSED.search(t):
         return 1
     marked = MARK.search(t)
@@ -56,43 +61,41 @@ def judge(text: str) -> int:
             return 1
         bare = TAIL.sub("", core) or core
         # dots of style behind a complete sentence
-        return 0 if CLOSED.search(core) or ENDINGS.search(bare[-80:]) or VERB.search(bare) else 1
+        return 0 if CLOSED.search(core) or ENDINGS.search(bare) or VERB.search(bare) else 1
     if CLOSED.search(t):
         return 0
-    tail = t[-120:]
-    bare = TAIL.sub("", tail)
-    if bare != tail and (not bare or CLOSED.search(bare) or VERB.search(bare) or TAIL.search(tail).group().strip() and len(tail) - len(bare) >= 2 and CLOSED.search(TAIL.search(tail).group().strip()[:1])):
+    sign = TAIL.search(t)
+    bare = TAIL.sub("", t)
+    if sign and (not bare or CLOSED.search(bare) or VERB.search(bare) or sign.group().strip()[:1] in (".", "!", "…")):
         return 0
-    if ENDINGS.search(tail) or ENDINGS.search(bare):
+    if ENDINGS.search(t) or ENDINGS.search(bare):
         return 0
     return 2 if VERB.search(bare) else 1
 
 
 def _probe(batches):
-    """(id, source, text) -> (id, source, verdict, key, rest, n): the longest hashed prefix of a text and what follows it."""
+    """(id, source, head, text) -> (id, source, verdict, head, key, rest): of suspects the hash of the text's head, of its longest prefix, and what follows that."""
     import xxhash
 
     for batch in batches:
-        verdicts, keys, rests, lens = [], [], [], []
-        for x in batch.column(2).to_pylist():
+        heads = batch.column(2).to_pylist()
+        verdicts, keys, rests = [], [], []
+        for k, x in enumerate(batch.column(3).to_pylist()):
             v = judge(x) if x and not x.isspace() else 0
-            n = len(x or "")
-            at = (n - 1) // STEP * STEP if n else 0
+            at = (len(x) - 1) // STEP * STEP if v else 0
             verdicts.append(v)
-            lens.append(n)
-            keys.append(xxhash.xxh3_64_intdigest(x[:at].encode("utf-8", "surrogatepass")) - (1 << 63) if v and at else None)
-            rests.append(x[at:] if v and at else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(verdicts, pa.int32()), pa.array(keys, pa.int64()), pa.array(rests, pa.string()), pa.array(lens, pa.int64())],
-            ["id", "source", "verdict", "key", "rest", "n"],
-        )
+            keys.append(xxhash.xxh3_64_intdigest(x[:at].encode("utf-8", "surrogatepass")) - (1 << 63) if at else None)
+            rests.append(x[at:] if at else None)
+            if not at:
+                heads[k] = None
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(verdicts, pa.int32()), pa.array(heads, pa.int64()), pa.array(keys, pa.int64()), pa.array(rests, pa.string())], ["id", "source", "verdict", "head", "key", "rest"])
 
 
-PROBE = "id long, source string, verdict int, key long, rest string, n long"
+PROBE = "id long, source string, verdict int, head long, key long, rest string"
 
 
 def _prefixes(batches):
-    """(text) -> (key, next): hashes of the prefixes of 64, 128, ... characters with up to 64 characters after each."""
+    """(text) -> (key, next): hashes of the prefixes of 32, 64, ... characters with up to 33 characters after each."""
     import xxhash
 
     for batch in batches:
@@ -108,14 +111,16 @@ def _prefixes(batches):
 
 def verdicts(docs: DataFrame) -> DataFrame:
     """(id, source, cut): docs is (id, source, text)."""
-    d = docs.select(F.col("id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), "text")
+    head = F.xxhash64(F.substring("text", 1, STEP))
+    d = docs.select(F.col("id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), head.alias("head"), "text")
     p = d.mapInArrow(_probe, PROBE)
-    unsure = p.where("verdict > 0 and key is not null").select("key", "rest").distinct()
-    more = d.where(f"length(text) > {STEP}").select("text").mapInArrow(_prefixes, "key long, next string")
+    suspects = p.where("key is not null").select("head", "key", "rest").distinct()
+    likely = d.where(f"length(text) > {STEP}").select("head", "text").join(suspects.select("head").distinct().hint("merge"), "head", "left_semi")
     # distinct on both sides: a text shared by a third of all rows is one row here
-    longer = more.join(unsure.select("key").distinct(), "key", "left_semi").distinct()
-    found = unsure.join(longer, "key").where(F.startswith("next", "rest") & (F.length("next") > F.length("rest"))).select("key", "rest").distinct().withColumn("copy", F.lit(True))
-    j = p.join(found, ["key", "rest"], "left")
+    longer = likely.select("text").mapInArrow(_prefixes, "key long, next string").distinct()
+    found = suspects.join(longer.hint("merge"), "key").where(F.startswith("next", "rest") & (F.length("next") > F.length("rest")))
+    found = found.select("key", "rest").distinct().withColumn("copy", F.lit(True))
+    j = p.join(found.hint("merge"), ["key", "rest"], "left")
     return j.select("id", "source", ((F.col("verdict") == 1) | ((F.col("verdict") == 2) & F.coalesce("copy", F.lit(False)))).alias("cut"))
 
 
