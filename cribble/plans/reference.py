@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cribble.functions import text as tx, urls as ur
 from cribble.functions.clean import clean_article
 from cribble.operators import dedup, filters, neardup, store
-from cribble.plans import reports
+from cribble.plans import reports, rules
 from cribble.sources.tables import table
 
 #: The fixed present of queries with ages.
@@ -345,8 +345,8 @@ def near_duplicate_check(s: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {**Q, **reports.Q}
+    return {**Q, **reports.Q, **rules.Q}
 
 
 def oracle_sql() -> dict:
-    return {**SQL, **reports.SQL}
+    return {**SQL, **reports.SQL, **rules.SQL}
