@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cribble.operators import scoring
+from cribble.operators.running import running
 from cribble.sources.tables import table
 
 NOW = datetime(2025, 9, 1)
@@ -211,7 +212,8 @@ SELECT id, normalized_url, taxonomy_lv2, type_name, reason, attempts FROM l WHER
 def retry_queue(s: SparkSession, d: str) -> DataFrame:
     """The latest discard of each address and type, if it may be tried again, counted over all discards."""
     a = table(s, d, "discarded_candidates").select("id", "normalized_url", "reason", "query_id", "retryable", "discarded_at")
-    a = a.withColumn("attempts", F.count("*").over(Window.partitionBy("normalized_url", "reason")))
+    # counted before any filter; an aggregate, not a window, as one address may have any number of discards
+    a = a.join(a.groupBy("normalized_url", "reason").agg(F.count("*").alias("attempts")), ["normalized_url", "reason"])
     j = a.join(_queries(s, d, "taxonomy_lv2", "type_name"), "query_id")
     w = Window.partitionBy("normalized_url", "taxonomy_lv2", "type_name").orderBy(F.desc("discarded_at"), F.desc("id"))
     most = F.when(F.col("reason").isin("timeout", "temporary_http_error"), 3).otherwise(2)
@@ -264,9 +266,11 @@ SELECT id, lv2, chunk, coalesce(sum(ok::INT) OVER (PARTITION BY lv2 ORDER BY chu
 def target_cutoff(s: SparkSession, d: str) -> DataFrame:
     """Candidates that come after their group reached 30 accepted, seen from whole chunks of 25."""
     j = table(s, d, "content_discoveries").select("id", "query_id", "content_id").join(_queries(s, d, F.col("taxonomy_lv2").alias("lv2")), "query_id").join(_contents(s, d, "status"), "content_id")
-    x = j.select("id", "lv2", (F.col("status") == "accepted").cast("long").alias("ok"), F.floor((F.row_number().over(Window.partitionBy("lv2").orderBy("id")) - 1) / 25).alias("chunk"))
-    before = Window.partitionBy("lv2").orderBy("chunk").rangeBetween(Window.unboundedPreceding, -1)
-    return x.select("id", "lv2", "chunk", (F.coalesce(F.sum("ok").over(before), F.lit(0)) >= 30).alias("skipped"))
+    x = j.select("id", "lv2", (F.col("status") == "accepted").cast("long").alias("ok"), F.lit(1).alias("one"))
+    x = running(x, ["lv2"], F.col("id"), F.shiftright("id", 12), "one", "before").withColumn("chunk", F.floor(F.col("before") / 25))
+    c = x.groupBy("lv2", "chunk").agg(F.sum("ok").alias("ok"))
+    c = running(c, ["lv2"], F.col("chunk"), F.shiftright("chunk", 12), "ok", "sofar")
+    return x.select("id", "lv2", "chunk").join(c.select("lv2", "chunk", "sofar"), ["lv2", "chunk"]).select("id", "lv2", "chunk", (F.col("sofar") >= 30).alias("skipped"))
 
 
 @query("SELECT reason, count(*) AS n FROM (SELECT reason FROM discarded_candidates UNION ALL SELECT split_part(decision_reason, ':', 1) FROM content_taxonomy_mappings WHERE decision = 'excluded') GROUP BY 1")

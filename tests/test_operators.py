@@ -8,6 +8,7 @@ from cribble.functions import text as tx
 from cribble.operators import dedup, filters, scoring, store
 from cribble.operators.capping import beyond_cap, latest_score, share_cap
 from cribble.operators.history import repeats
+from cribble.operators.running import running
 from cribble.operators.similar import similar_pairs
 from tests import plain
 
@@ -148,3 +149,15 @@ def test_scores(spark):
 def test_words_edge_cases(spark):
     df = spark.createDataFrame([("",), (None,), (" a　b a ",)], "c string")
     assert [r[0] for r in df.select(tx.words(F.col("c"))).collect()] == [[], [], ["a", "b"]]
+
+
+def test_running_sums(spark):
+    r = random.Random(9)
+    data = [(r.choice("ab"), i, r.randint(1, 9)) for i in range(500)]
+    df = spark.createDataFrame(data, "source string, h long, v long")
+    got = {x.h: x.s for x in running(df, ["source"], F.col("h"), F.shiftright("h", 4), "v", "s").collect()}
+    for k in "ab":
+        total = 0
+        for _, h, v in sorted(x for x in data if x[0] == k):
+            assert got[h] == total
+            total += v
