@@ -15,13 +15,14 @@ Texts that are null or empty have no tokens and aren't mixed. Sources that mix_t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cribble.operators.lineage import cut
+from cribble.operators.running import RANGE, running
 
 PHI = 0.6180339887498949
-#: Tokens of a block, texts of a hash range, slots of a range.
-BLOCK, RANGE = 8192, 4096
+#: Tokens of a block.
+BLOCK = 8192
 
 
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -37,29 +38,6 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return t.select("source", "share", F.floor(total * F.col("share")).alias("goal"), "tokens", "max_repeats")
 
 
-def running(df: DataFrame, keys: list[str], order: Column, spot: Column, value: str, out: str) -> DataFrame:
-    """The sum of value over the earlier rows of the same keys, in order.
-
-    spot: a number that doesn't fall in that order, with a bounded number of rows for each value; sums run inside one spot and over the
-    totals of spots.
-    """
-    d = df.withColumn("spot", spot)
-    totals = d.groupBy(*keys, "spot").agg(F.sum(value).alias("part"))
-    # spots are rows/RANGE many; they are summed in two further levels, so no level holds more than a few thousand
-    totals = totals.withColumn("area", F.shiftright("spot", 11))
-    areas = totals.groupBy(*keys, "area").agg(F.sum("part").alias("whole"))
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    w2 = Window.partitionBy(*keys).orderBy("area").rowsBetween(Window.unboundedPreceding, -1)
-    w1 = Window.partitionBy(*keys, "area").orderBy("spot").rowsBetween(Window.unboundedPreceding, -1)
-    w0 = Window.partitionBy(*keys, "spot").orderBy(order, *[F.col(c) for c in ("doc_id",) if c in df.columns]).rowsBetween(Window.unboundedPreceding, -1)
-    del before
-    areas = areas.select(*keys, "area", F.coalesce(F.sum("whole").over(w2), F.lit(0)).alias("base"))
-    totals = totals.withColumn("off", F.coalesce(F.sum("part").over(w1), F.lit(0))).join(areas, [*keys, "area"])
-    totals = totals.select(*keys, "spot", (F.col("off") + F.col("base")).alias("base"))
-    d = d.withColumn("inner", F.coalesce(F.sum(value).over(w0), F.lit(0)))
-    return d.join(totals, [*keys, "spot"]).withColumn(out, F.col("inner") + F.col("base")).drop("spot", "inner", "base")
-
-
 def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     """(source, block, doc_id, copy_no, tokens, place): the texts to place, place being the tokens before it.
 
@@ -74,7 +52,7 @@ def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     rows = rows.join(n, ["source", "copy_no"]).withColumn("h", mixed)
     spots = F.greatest(F.lit(1), F.ceil(F.col("texts") / RANGE)).cast("long")
     spot = F.floor((F.shiftrightunsigned("h", 12).cast("double") / float(1 << 52)) * spots).cast("long")
-    rows = running(rows, ["source", "copy_no"], F.col("h"), spot, "tokens", "before")
+    rows = running(rows, ["source", "copy_no"], F.col("h"), spot, "tokens", "before", "doc_id")
     rows = rows.withColumn("place", F.col("before") + (F.col("copy_no") - 1) * F.col("all")).where("place < goal")
     return rows.select("source", F.floor(F.col("place") / BLOCK).alias("block"), "doc_id", "copy_no", "tokens", "place")
 
@@ -83,14 +61,17 @@ def schedule(goals: DataFrame) -> DataFrame:
     """(slot, source, block): which source's which block stands in each slot."""
     spark = goals.sparkSession
     g = goals.withColumn("blocks", F.ceil(F.col("goal") / BLOCK)).select("source", "share", "blocks")
-    upto = Window.partitionBy(F.lit(0)).orderBy("source")
-    g = cut(g.withColumn("hi", F.sum("share").over(upto)).withColumn("lo", F.col("hi") - F.col("share")).withColumn("final", F.row_number().over(upto) == F.count("*").over(Window.partitionBy(F.lit(0)))))
-    top = g.agg(F.max(F.col("blocks") / F.col("share")), F.count("*")).first()
+    # one row per target: a configuration table, so its bounds become literals in the plan
+    rows = sorted(g.collect(), key=lambda r: r.source)
+    if not rows:
+        return spark.createDataFrame([], "slot long, source string, block long")
     # a source gets its share of slots up to the deviation of the sequence, which is logarithmic
-    slots = 0 if not top[1] else int(top[0] * 1.01) + 64 * top[1]
+    slots = int(max(r.blocks / r.share for r in rows) * 1.01) + 64 * len(rows)
+    ends = [sum(r.share for r in rows[: i + 1]) for i in range(len(rows) - 1)]
     s = spark.range(slots).select(F.col("id").alias("slot"), F.expr(f"id * {PHI}D - floor(id * {PHI}D)").alias("u"), F.lit(1).alias("one"))
-    # targets are a configuration table of bounded size, so each slot looks its source up in a broadcast
-    s = s.join(F.broadcast(g), (F.col("u") >= F.col("lo")) & ((F.col("u") < F.col("hi")) | F.col("final")))
+    place = F.size(F.filter(F.array(*map(F.lit, ends)).cast("array<double>"), lambda e: F.col("u") >= e)) + 1
+    pick = lambda values, kind: F.element_at(F.array(*map(F.lit, values)).cast(f"array<{kind}>"), place)
+    s = s.select("slot", "one", pick([r.source for r in rows], "string").alias("source"), pick([r.blocks for r in rows], "bigint").alias("blocks"))
     s = running(s.select("slot", "source", "one", "blocks"), ["source"], F.col("slot"), F.shiftright("slot", 12), "one", "block")
     return s.where("block < blocks").select("slot", "source", "block")
 

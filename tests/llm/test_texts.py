@@ -170,18 +170,6 @@ def test_mixture(spark):
     assert mixing.mixture(sizes.limit(0), targets).count() == 0
 
 
-def test_running_sums(spark):
-    r = random.Random(9)
-    data = [(r.choice("ab"), i, r.randint(1, 9)) for i in range(500)]
-    df = spark.createDataFrame(data, "source string, h long, v long")
-    got = {x.h: x.s for x in mixing.running(df, ["source"], F.col("h"), F.shiftright("h", 4), "v", "s").collect()}
-    for k in "ab":
-        total = 0
-        for _, h, v in sorted(x for x in data if x[0] == k):
-            assert got[h] == total
-            total += v
-
-
 # -- cuts
 
 
