@@ -1,7 +1,7 @@
 """Checking new batches against all history and against one another.
 
 The accepted records are indexed once, by address, by digest and by the segments of their sketches (``similar.py``);
-a batch only probes the index, and what it adds is appended. Order matters: a record counts as accepted history for
+a batch only probes the index, and what it adds is appended (``HistoryIndex`` keeps the index between batches). Order matters: a record counts as accepted history for
 the records after it only if it repeated nothing before it. That is resolved set-wise: every record lists the keys
 it owns and the keys that it must not find taken (the same, and those of similar classes); in each round, records
 that find an earlier accepted owner are rejected and records with no earlier undecided rival are accepted.
@@ -9,9 +9,11 @@ that find an earlier accepted owner are rejected and records with no earlier und
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import cached_property
 
-from cribble.operators.lineage import cut
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cribble.operators.lineage import cut, scratch_table
 from cribble.operators.similar import J_ALONE, WordIndex, class_pairs, titled_nodes
 
 
@@ -26,7 +28,12 @@ def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     are normalised. Nulls in url and digest match nothing; a null content is empty. Records are taken by batch_no (nulls first), then
     id; ids are unique over both.
     """
-    hist, new = WordIndex(history), WordIndex(incoming)
+    return check(WordIndex(history), history.select("id", "url", "digest"), incoming)
+
+
+def check(hist: WordIndex, history: DataFrame, incoming: DataFrame) -> DataFrame:
+    """What repeats returns, with the history as an index and a table of its keys (id, url, digest)."""
+    new = WordIndex(incoming)
     recs = cut(incoming.select("id", F.struct("batch_no", "id").alias("ord"), "url", "digest"))
 
     by_class, by_self = class_pairs(new, hist), class_pairs(new)
@@ -67,3 +74,56 @@ def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     inner = asks.join(kept, "key").where("o < ord").select("id", "hid")
     both = matched.unionByName(inner).groupBy("id").agg(F.min("hid").alias("matched_id"))
     return both.select("matched_id", F.col("id").alias("incoming_id"))
+
+
+class StoredIndex(WordIndex):
+    """A word index whose parts are read from the tables that HistoryIndex keeps."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.least, self.bands, self.most_bits = WordIndex.least, WordIndex.bands, WordIndex.most_bits
+        self.read = lambda name: spark.read.parquet(f"{path}/{name}").drop("batch")
+
+    @cached_property
+    def classes(self) -> DataFrame:
+        return self.read("classes")
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return self.read("members")
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return self.read("segments")
+
+    @cached_property
+    def title_segments(self) -> DataFrame:
+        return self.read("title_segments").distinct()
+
+
+class HistoryIndex:
+    """The index of everything accepted so far, as tables in the shared folder.
+
+    A batch is probed against the stored segments; only its accepted records are sketched and appended, each batch
+    in a folder of its own, so a batch that runs again after a failure leaves one copy. No text of the history is
+    read again.
+    """
+
+    PARTS = ("classes", "members", "segments", "title_segments")
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark = spark
+        self.path = path or scratch_table(spark, "history")
+
+    def append(self, records: DataFrame, batch: int) -> None:
+        """Adds accepted records (id, url, digest, title, content)."""
+        index = WordIndex(records)
+        for name in self.PARTS:
+            getattr(index, name).write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+        records.select("id", "url", "digest").write.mode("overwrite").parquet(f"{self.path}/keys/batch={batch}")
+
+    def take(self, incoming: DataFrame, batch: int) -> DataFrame:
+        """(matched_id, incoming_id) of the batch; its other records are appended."""
+        keys = self.spark.read.parquet(f"{self.path}/keys").drop("batch")
+        found = cut(check(StoredIndex(self.spark, self.path), keys, incoming))
+        self.append(incoming.join(found.select(F.col("incoming_id").alias("id")), "id", "left_anti"), batch)
+        return found

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cribble.functions import text as tx
 from cribble.operators import dedup, filters, scoring, store
 from cribble.operators.capping import beyond_cap, latest_score, share_cap
-from cribble.operators.history import repeats
+from cribble.operators.history import HistoryIndex, repeats
 from cribble.operators.running import running
 from cribble.operators.similar import similar_pairs
 from tests import plain
@@ -62,7 +62,7 @@ def test_history_against_one_by_one(spark):
     docs = texts(5, 80)
     old = [(i, f"https://a/{i}", plain.digest(t or "", c or ""), t, c) for i, t, c in docs[:40]]
     r = random.Random(6)
-    new = [(i + 1000, i // 20, f"https://a/{r.choice([i, i, i - 45])}", plain.digest(t or "", c or "") if i % 3 else None, t, c) for i, t, c in docs[40:]]
+    new = [(i + 1000, i // 60, f"https://a/{r.choice([i, i, i - 45])}", plain.digest(t or "", c or "") if i % 3 else None, t, c) for i, t, c in docs[40:]]
     accepted, want = list(old), []
     for i, b, u, h, t, c in new:
         hit = [o[0] for o in accepted if o[1] == u or h is not None and o[2] == h or plain.similar((t, c), (o[3], o[4]))]
@@ -73,6 +73,11 @@ def test_history_against_one_by_one(spark):
     cols = "url string, digest string, title string, content string"
     h, n = spark.createDataFrame(old, f"id long, {cols}"), spark.createDataFrame(new, f"id long, batch_no int, {cols}")
     assert rows(repeats(h, n), "matched_id", "incoming_id") == sorted(want)
+    index, found = HistoryIndex(spark), []
+    index.append(h, 0)
+    for b in (0, 1):
+        found += rows(index.take(n.where(F.col("batch_no") == b), b + 1), "matched_id", "incoming_id")
+    assert sorted(found) == sorted(want)
     assert rows(repeats(h, n.limit(0)), "matched_id", "incoming_id") == []
     assert len(rows(repeats(h.limit(0), n), "matched_id", "incoming_id")) <= len(want)
 
