@@ -120,6 +120,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
     longer = likely.select("text").mapInArrow(_prefixes, "key long, next string").distinct()
     found = suspects.join(longer.hint("merge"), "key").where(F.startswith("next", "rest") & (F.length("next") > F.length("rest")))
     found = found.select("key", "rest").distinct().withColumn("copy", F.lit(True))
+    # rows without a key get one of their own, so that they don't all meet in one task; without a rest they match nothing
+    p = p.withColumn("key", F.coalesce("key", F.xxhash64("id")))
     j = p.join(found.hint("merge"), ["key", "rest"], "left")
     return j.select("id", "source", ((F.col("verdict") == 1) | ((F.col("verdict") == 2) & F.coalesce("copy", F.lit(False)))).alias("cut"))
 

@@ -41,7 +41,8 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     """(source, block, doc_id, copy_no, tokens, place): the texts to place, place being the tokens before it.
 
-    A text belongs to the block in which it begins; the last text of a source may pass the goal, if it begins before it.
+    A text belongs to the block in which it begins. Texts are placed while their middle lies before the goal, so a
+    source misses its goal by half a text at most; a source with texts gets one in any case.
     """
     rows = sizes.where("tokens > 0").join(goals.select("source", "goal", "max_repeats", F.col("tokens").alias("all")), "source")
     need = F.least(F.col("max_repeats").cast("long"), F.ceil(F.col("goal") / F.col("all")))
@@ -53,7 +54,8 @@ def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     spots = F.greatest(F.lit(1), F.ceil(F.col("texts") / RANGE)).cast("long")
     spot = F.floor((F.shiftrightunsigned("h", 12).cast("double") / float(1 << 52)) * spots).cast("long")
     rows = running(rows, ["source", "copy_no"], F.col("h"), spot, "tokens", "before", "doc_id")
-    rows = rows.withColumn("place", F.col("before") + (F.col("copy_no") - 1) * F.col("all")).where("place < goal")
+    rows = rows.withColumn("place", F.col("before") + (F.col("copy_no") - 1) * F.col("all"))
+    rows = rows.where("place + tokens / 2 < goal or place = 0")
     return rows.select("source", F.floor(F.col("place") / BLOCK).alias("block"), "doc_id", "copy_no", "tokens", "place")
 
 
