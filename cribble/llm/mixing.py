@@ -1,6 +1,6 @@
 """Mixing sources to target shares of the total size in tokens.
 
-1. Sizes: each text's tokens. A source may be repeated up to its cap; the largest total at which every source that
+1. Sizes: each text's tokens, a text that stands in several documents counted once. A source may be repeated up to its cap; the largest total at which every source that
    has texts can supply its share is the size of the mixture. A listed source without texts gets nothing, and the
    shares of the others are scaled to sum to one.
 2. Blocks: each source's texts are shuffled by hash, once per repetition, and cut into blocks of about equal tokens.
@@ -10,6 +10,9 @@
    shares the point falls owns the slot. Any stretch of the mixture is thereby close to the shares. The slots of a
    source are ranked, and the r-th slot gets the source's r-th block.
 
+The cap holds for a text, not for a document: equal texts are one, with the least doc_id. A text of several sources
+belongs to the one with the smallest cap, so it occurs no more often than any of them allows.
+
 Texts that are null or empty have no tokens and aren't mixed. Sources that mix_targets doesn't list are left out.
 """
 
@@ -25,6 +28,20 @@ PHI = 0.6180339887498949
 BLOCK = 8192
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """df with text_key, by which equal texts are known; without that column each document is a text of its own."""
+    return df if "text_key" in df.columns else df.withColumn("text_key", F.col("doc_id").cast("string"))
+
+
+def distinct_texts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """(doc_id, source, text_key, tokens): one row per text that can be mixed."""
+    usable = targets.where("target_share > 0 and max_repeats > 0").select("source", "max_repeats")
+    rows = keyed(sizes).where("tokens > 0").join(F.broadcast(usable), "source")
+    first = F.min(F.struct("max_repeats", "source", "doc_id")).alias("x")
+    one = rows.groupBy("text_key").agg(first, F.first("tokens").alias("tokens"))
+    return one.select("x.doc_id", "x.source", "text_key", "tokens")
+
+
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, share, goal, tokens, max_repeats): the share among sources with texts, and tokens to place.
 
@@ -39,7 +56,7 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
-    """(source, block, doc_id, copy_no, tokens, place): the texts to place, place being the tokens before it.
+    """(source, block, doc_id, text_key, copy_no, tokens, place): the texts to place, place being the tokens before it.
 
     A text belongs to the block in which it begins. Texts are placed while their middle lies before the goal, so a
     source misses its goal by half a text at most; a source with texts gets one in any case.
@@ -56,7 +73,7 @@ def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     rows = running(rows, ["source", "copy_no"], F.col("h"), spot, "tokens", "before", "doc_id")
     rows = rows.withColumn("place", F.col("before") + (F.col("copy_no") - 1) * F.col("all"))
     rows = rows.where("place + tokens / 2 < goal or place = 0")
-    return rows.select("source", F.floor(F.col("place") / BLOCK).alias("block"), "doc_id", "copy_no", "tokens", "place")
+    return rows.select("source", F.floor(F.col("place") / BLOCK).alias("block"), "doc_id", "text_key", "copy_no", "tokens", "place")
 
 
 def schedule(goals: DataFrame) -> DataFrame:
@@ -79,15 +96,24 @@ def schedule(goals: DataFrame) -> DataFrame:
 
 
 def mixture(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """(slot, source, block, doc_id, copy_no, tokens): the mixture in order of slots. sizes: doc_id, source, tokens."""
-    goals = cut(plan(sizes, targets.select("source", "target_share", "max_repeats")))
-    b = blocks(sizes.select("doc_id", "source", "tokens"), goals)
-    return schedule(goals).join(b, ["source", "block"]).select("slot", "source", "block", "doc_id", "copy_no", "tokens")
+    """(slot, source, block, doc_id, text_key, copy_no, tokens): the mixture in order of slots.
+
+    sizes: doc_id, source, tokens and, where several documents may hold one text, text_key.
+    """
+    targets = targets.select("source", "target_share", "max_repeats")
+    texts = cut(distinct_texts(sizes, targets))
+    goals = cut(plan(texts, targets))
+    b = blocks(texts, goals)
+    return schedule(goals).join(b, ["source", "block"]).select("slot", "source", "block", "doc_id", "text_key", "copy_no", "tokens")
 
 
 def report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, actual_share, tokens, texts, most_repeats), one row per target."""
-    times = mixed.groupBy("source", "doc_id").agg(F.count("*").alias("times"), F.sum("tokens").alias("tokens"))
+    """(source, target_share, actual_share, tokens, texts, most_repeats), one row per target.
+
+    most_repeats: how often a text of the source occurs in the mixture at most, under whatever doc_id and source.
+    """
+    times = keyed(mixed).groupBy("source", "text_key").agg(F.count("*").alias("times"), F.sum("tokens").alias("tokens"))
+    times = times.withColumn("times", F.sum("times").over(Window.partitionBy("text_key")))
     got = times.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("texts"), F.max("times").alias("most_repeats"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     r = targets.select("source", "target_share").join(got, "source", "left").select("source", "target_share", zero("tokens"), zero("texts"), zero("most_repeats"))

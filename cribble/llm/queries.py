@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cribble.functions.text import site
 from cribble.llm import boilerplate, cuts, lines, mixing, pii, residue, tokens
-from cribble.operators.lineage import cut
 from cribble.sources.tables import table
 
 
@@ -49,8 +48,8 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     listed = d.join(F.broadcast(table(spark, sf_dir, "mix_targets").select("source")), "source", "left_semi")
-    n = tokens.token_counts(listed.select(F.col("doc_id").alias("id"), "text", "source"), extra="source")
-    return cut(n.select(F.col("id").alias("doc_id"), "source", "tokens"))
+    docs = listed.select(F.col("doc_id").alias("id"), "text", "source", F.md5(F.col("text").cast("binary")).alias("text_key"))
+    return tokens.token_counts(docs, extra=("source", "text_key")).withColumnRenamed("id", "doc_id")
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,10 +150,10 @@ def encode(docs: DataFrame, path: str = VOCABULARY, size: int = CHUNK, overlap:
     return short.unionByName(long)
 
 
-def token_counts(docs: DataFrame, path: str = VOCABULARY, extra: str | None = None) -> DataFrame:
-    """(id, extra, tokens) of docs (id, text); extra is a string column to carry along."""
-    d = docs.select(F.col("id").cast("long").alias("id"), "text", *([extra] if extra else []))
-    return d.mapInArrow(encode_short(vocabulary(path), True), f"id long, {f'{extra} string, ' if extra else ''}tokens long")
+def token_counts(docs: DataFrame, path: str = VOCABULARY, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(id, extra, tokens) of docs (id, text); extra are string columns to carry along."""
+    d = docs.select(F.col("id").cast("long").alias("id"), "text", *extra)
+    return d.mapInArrow(encode_short(vocabulary(path), True), f"id long, {''.join(f'{c} string, ' for c in extra)}tokens long")
 
 
 def decode(ids: list[int], enc) -> str:

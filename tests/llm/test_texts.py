@@ -1,5 +1,6 @@
 import base64
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +171,22 @@ def test_mixture(spark):
     assert mixing.mixture(sizes.limit(0), targets).count() == 0
 
 
+def test_repeat_cap_holds_for_texts(spark):
+    # source a: 6 documents of 2 texts; text t0 also stands in b, which allows more
+    docs = [(i, "a", f"t{i % 2}", 100) for i in range(6)] + [(10, "b", "t0", 100)] + [(11 + i, "b", f"u{i}", 100) for i in range(4)]
+    sizes = spark.createDataFrame(docs, "doc_id long, source string, text_key string, tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
+    m = mixing.mixture(sizes, targets).cache()
+    text = {d: t for d, _, t, _ in docs}
+    times = Counter(text[r.doc_id] for r in m.collect())
+    assert times["t0"] == times["t1"] == 1 and max(times.values()) <= 3
+    rep = {r.source: r for r in mixing.report(m, targets).collect()}
+    assert (rep["a"].tokens, rep["a"].texts, rep["a"].most_repeats, rep["b"].tokens) == (200, 2, 1, 200)
+    # the report counts texts, whatever documents they come from
+    twice = spark.createDataFrame([(0, "a", "t0", 100), (2, "a", "t0", 100)], "doc_id long, source string, text_key string, tokens long")
+    assert {r.source: (r.texts, r.most_repeats) for r in mixing.report(twice, targets).collect()} == {"a": (1, 2), "b": (0, 0)}
+
+
 # -- cuts
 
 
