@@ -344,6 +344,13 @@ def near_duplicate_check(s: SparkSession, d: str) -> DataFrame:
     return v.select("id", "matched_id", "by_title", F.round("jaccard", 9).alias("jaccard"))
 
 
+@query()
+def near_duplicate_observations(s: SparkSession, d: str) -> DataFrame:
+    """The best earlier partner of each stored record, from a similarity of 0.15 up."""
+    o = neardup.observations(table(s, d, "contents").select("id", F.col("title_normalized").alias("title"), "content"))
+    return o.select("id", "matched_id", F.round("title_similarity", 9).alias("title_similarity"), F.round("content_similarity", 9).alias("content_similarity"), "would_exclude")
+
+
 def queries() -> dict:
     return {**Q, **reports.Q, **rules.Q}
 

@@ -1,14 +1,16 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from cribble.functions import html
 from cribble.operators.export import merge_export
-from cribble.operators.neardup import verdicts
+from cribble.operators.neardup import observations, verdicts
 from cribble.plans import search
 from cribble.sources import files
 from cribble.streaming import intake
+from tests import plain
 
 
 def test_bundles():
@@ -110,6 +112,20 @@ def test_near_duplicate_verdicts(spark):
     assert got == {2: (1, False), 3: (1, True)}
 
 
+@pytest.mark.parametrize("block", [32768, 25])
+def test_near_duplicate_observations(spark, block):
+    r = random.Random(5)
+    pool = [f"w{i}" for i in range(60)]
+    docs = [(i, r.choice(["", None, f"제목 {r.randrange(40)}", f"같은 뜻의 긴 제목 하나 {r.randrange(5)}"]), " ".join(r.sample(pool, r.randint(5, 25)))) for i in range(150)]
+    docs += [(150, "제목", docs[3][2]), (151, "끝", None), (152, "", ""), (153, "혼자", "아무도 안 쓴 낱말"), (154, "혼자", "또 다른 말")]
+    # 14 of 34 words in common, 0.41: a duplicate by the help of its title only
+    docs += [(155, "아주 길게 이어지는 하나의 특별한 제목이다", " ".join(f"p{i}" for i in range(24))), (156, "아주 길게 이어지는 하나의 특별한 제목이다.", " ".join(f"p{i}" for i in range(10, 34)))]
+    want = plain.observations(docs)
+    got = {x.id: (x.matched_id, round(x.title_similarity, 9), round(x.content_similarity, 9), x.would_exclude) for x in observations(spark.createDataFrame(docs, "id long, title string, content string"), block).collect()}
+    assert got == want
+    assert any(v[2] < 0.35 and not v[3] for v in want.values()) and any(v[1] == 1.0 for v in want.values()) and any(v[2] < 0.45 and v[3] and v[1] < 1 for v in want.values())
+
+
 def test_stream(spark, tmp_path):
     rows = [(1, 1, "t", "c", "https://h/a?ref=1", "h", None), (2, 1, "t2", "c2", "https://h/b", "h", None), (3, 2, "t", "c", "https://h/z", "h", None), (4, 2, "t3", "c3", "https://h/a/", "h", None)]
     df = spark.createDataFrame(rows, intake.SCHEMA).withColumn("collected_at", F.lit("2025-01-01 00:00:00").cast("timestamp"))
