@@ -11,7 +11,7 @@ A content is *similar* to another if both have at least 30 distinct words and th
 4. The word sets of what is left are intersected: the result has no false pair.
 
 Titles have bands of their own, for pairs that are similar only with their titles' help. Titles that are shared by
-many different contents meet through weaker content bands instead of all pairs.
+many different contents meet through their rarest words instead of all pairs (prefix filter), which loses none.
 
 The joins of segments and word sets are sort-merge joins at every size: what Python makes has no reliable size
 estimate, and a side taken for small would be broadcast whole.
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cribble.operators import sketch
 from cribble.operators.lineage import cut
@@ -35,7 +35,7 @@ J_ALONE, J_TITLED, TITLE_COSINE = 0.5, 0.35, 0.9
 MOST_BITS = 88
 #: The same of 128 bits of a title: at Jaccard 0.8 the mean is 12.8, the deviation 3.4.
 MOST_TITLE_BITS = 28
-#: Pairs of contents under one pair of titles, up to which all are checked directly; beyond, weak bands select them.
+#: Pairs of contents under one pair of titles, up to which all are checked directly; beyond, an exact prefix filter selects them.
 DIRECT = 4096
 
 
@@ -113,10 +113,6 @@ class WordIndex:
         k = self.titles.select("tid", "title").mapInArrow(sketch.title_bands, sketch.TITLE_BANDS_SCHEMA)
         return k.select(F.explode("bands").alias("key"), "tid", "s0", "s1")
 
-    def weak(self, reps: DataFrame) -> DataFrame:
-        k = self.classes.join(reps, "rep", "left_semi").mapInArrow(sketch.weak_bands, sketch.WEAK)
-        return k.select("rep", F.explode("bands").alias("key"))
-
 
 def _content_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     a, b = p.segments.alias("a"), q.segments.alias("b")
@@ -126,6 +122,28 @@ def _content_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     return j.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
 
+def _prefixes(words: DataFrame, held: DataFrame) -> DataFrame:
+    """rep, n, key: the rarest of each class's n words, as many as a pair of at least 0.35 can't both miss.
+
+    Such a pair has ceil(0.35 * n) words of either class in common, so one of them is among all but the last
+    ceil(0.35 * n) - 1 words of both, in any order that holds for all.
+    """
+    k = F.row_number().over(Window.partitionBy("rep").orderBy("held", "key"))
+    return words.join(held, "key").withColumn("k", k).where("k <= n - (35 * n + 99) div 100 + 1").select("rep", "n", "key")
+
+
+def _hot_candidates(p: WordIndex, q: WordIndex, many: DataFrame, na: DataFrame, nb: DataFrame) -> DataFrame:
+    """a, b: classes under the pairs of titles in many, without loss: every pair of at least 0.35 is among them."""
+    wa, wb = many.join(na, "ta"), many.join(nb, "tb")
+    words = lambda x, reps: cut(x.classes.join(reps, "rep", "left_semi").select("rep", F.size("tokens").alias("n"), F.explode("tokens").alias("key")))
+    xa, xb = words(p, wa.select(F.col("a").alias("rep"))), words(q, wb.select(F.col("b").alias("rep")))
+    held = xa.select("key").union(xb.select("key")).groupBy("key").agg(F.count("*").alias("held"))
+    ka = _prefixes(xa, held).select(F.col("rep").alias("a"), F.col("n").alias("x"), "key")
+    kb = _prefixes(xb, held).select(F.col("rep").alias("b"), F.col("n").alias("y"), "key")
+    hot = wa.join(ka, "a").join(wb.join(kb, "b"), ["ta", "tb", "key"])
+    return hot.where("100 * x >= 35 * y and 100 * y >= 35 * x").select("a", "b").distinct()
+
+
 def _title_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     a, b = p.title_segments.alias("a"), q.title_segments.alias("b")
     order = [F.expr("a.tid < b.tid")] if p is q else [F.expr("a.tid <> b.tid")]
@@ -143,12 +161,7 @@ def _title_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
     nb = q.nodes.select(F.col("tid").alias("tb"), F.col("rep").alias("b"))
     few = both.where(F.col("ma") * F.col("mb") <= DIRECT).join(na, "ta").join(nb, "tb").select("a", "b")
     many = both.where(F.col("ma") * F.col("mb") > DIRECT).select("ta", "tb")
-    wa = many.join(na, "ta")
-    wb = many.join(nb, "tb")
-    ka = p.weak(wa.select(F.col("a").alias("rep"))).select(F.col("rep").alias("a"), "key")
-    kb = q.weak(wb.select(F.col("b").alias("rep"))).select(F.col("rep").alias("b"), "key")
-    hot = wa.join(ka, "a").join(wb.join(kb, "b"), ["ta", "tb", "key"]).select("a", "b")
-    out = few.union(hot)
+    out = few if many.isEmpty() else few.union(_hot_candidates(p, q, many, na, nb))
     if p is q:
         out = out.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return out.distinct()

@@ -166,3 +166,10 @@ def test_running_sums(spark):
         for _, h, v in sorted(x for x in data if x[0] == k):
             assert got[h] == total
             total += v
+
+
+def test_hot_title_loses_no_pair(spark):
+    # 70 classes under one title, each pair at 20 of 56 words, 0.357
+    docs = [(i, "같은 제목", " ".join([*(f"c{k}" for k in range(20)), *(f"u{i}x{k}" for k in range(18))])) for i in range(70)]
+    got = similar_pairs(spark.createDataFrame(docs, "id long, title string, content string"))
+    assert sorted((r.id_a, r.id_b) for r in got.collect()) == [(a, b) for a in range(70) for b in range(a + 1, 70)]
