@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cribble.functions import rules as ru, urls as ur
 from cribble.operators import scorers
+from cribble.operators.scoring import latest_score
 from cribble.plans import reports
 from cribble.sources.tables import table
 
@@ -150,7 +151,5 @@ def stub_scores(s: SparkSession, d: str) -> DataFrame:
   SELECT content_id, arg_max(overall, (scored_at, run_id, taxonomy_lv2, type_name)) AS last_overall FROM content_quality_scores WHERE overall >= 1 AND overall <= 5 AND NOT isnan(overall) GROUP BY 1) e ON e.content_id = n.content_id"""
 )
 def mapping_scores(s: SparkSession, d: str) -> DataFrame:
-    from cribble.operators.capping import latest_score
-
     q = latest_score(table(s, d, "content_quality_scores"))
     return table(s, d, "content_taxonomy_mappings").select(F.col("id").alias("mapping_id"), "content_id").join(q, "content_id", "left").select("mapping_id", F.coalesce("score", F.lit(-1.0)).alias("overall"))

@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from cribble.functions import text as tx
 from cribble.operators import dedup, filters, scoring, store
-from cribble.operators.capping import beyond_cap, latest_score, share_cap
-from cribble.operators.history import HistoryIndex, repeats
 from cribble.operators.running import running
 from cribble.operators.similar import similar_pairs
 from tests import plain
@@ -58,52 +56,6 @@ def test_similar_pairs_of_nothing(spark):
     assert rows(similar_pairs(spark.createDataFrame([], "id long, title string, content string")), "id_a", "id_b") == []
 
 
-def test_history_against_one_by_one(spark):
-    docs = texts(5, 80)
-    old = [(i, f"https://a/{i}", plain.digest(t or "", c or ""), t, c) for i, t, c in docs[:40]]
-    r = random.Random(6)
-    new = [(i + 1000, i // 60, f"https://a/{r.choice([i, i, i - 45])}", plain.digest(t or "", c or "") if i % 3 else None, t, c) for i, t, c in docs[40:]]
-    accepted, want = list(old), []
-    for i, b, u, h, t, c in new:
-        hit = [o[0] for o in accepted if o[1] == u or h is not None and o[2] == h or plain.similar((t, c), (o[3], o[4]))]
-        if hit:
-            want.append((min(hit), i))
-        else:
-            accepted.append((i, u, h, t, c))
-    cols = "url string, digest string, title string, content string"
-    h, n = spark.createDataFrame(old, f"id long, {cols}"), spark.createDataFrame(new, f"id long, batch_no int, {cols}")
-    assert rows(repeats(h, n), "matched_id", "incoming_id") == sorted(want)
-    index, found = HistoryIndex(spark), []
-    index.append(h, 0)
-    for b in (0, 1):
-        found += rows(index.take(n.where(F.col("batch_no") == b), b + 1), "matched_id", "incoming_id")
-    assert sorted(found) == sorted(want)
-    assert rows(repeats(h, n.limit(0)), "matched_id", "incoming_id") == []
-    assert len(rows(repeats(h.limit(0), n), "matched_id", "incoming_id")) <= len(want)
-
-
-def test_cap(spark):
-    r = random.Random(2)
-    recs = [(i, r.choice(["a", "a", "a", "b", None]), r.choice([None, float("nan"), 1.0, 2.5, 2.5, 2.5, 4.123456789, r.random() * 5])) for i in range(500)]
-    for cap in (1, 100, 1000):
-        want = []
-        for who in {x[1] for x in recs}:
-            own = sorted((x for x in recs if x[1] == who), key=lambda x: (x[2] is None or x[2] != x[2], -(x[2] if x[2] is not None and x[2] == x[2] else 0), x[0]))
-            want += [(x[0],) for x in own[cap:]]
-        df = spark.createDataFrame(recs, "id long, who string, score double").withColumn("key", F.lit("x")).withColumn("n", F.lit(0))
-        assert rows(beyond_cap(df, cap), "id") == sorted(want)
-    assert rows(beyond_cap(spark.createDataFrame([], "id long, who string, score double"), 3), "id") == []
-    ties = spark.createDataFrame([(i, "a", None) for i in range(300)], "id long, who string, score double")
-    assert rows(beyond_cap(ties, 10), "id") == [(i,) for i in range(10, 300)]
-
-
-def test_share_cap_and_latest_score(spark):
-    assert [share_cap(n, 2) for n in (0, 49, 50, 149, 150)] == [1, 1, 1, 2, 3]
-    t = datetime(2025, 1, 1)
-    s = spark.createDataFrame([("r", 1, "l", "t", 3.0, t), ("s", 1, "l", "t", 4.0, t), ("z", 1, "l", "t", 9.0, t), ("z", 2, "l", "t", None, t), ("z", 1, "l", "t", float("nan"), t)], "run_id string, content_id long, taxonomy_lv2 string, type_name string, overall double, scored_at timestamp")
-    assert rows(latest_score(s), "content_id", "score") == [(1, 4.0)]
-
-
 def test_greedy_two_keys(spark):
     df = spark.createDataFrame([(1, "u1", "h1"), (2, "u2", "h1"), (3, "u2", "h2"), (4, None, None), (5, None, "h2")], "i int, u string, h string")
     assert rows(dedup.greedy_two_key(df, "i", "u", "h"), "i") == [(1,), (3,), (4,)]
