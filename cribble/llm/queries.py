@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cribble.functions.text import site
-from cribble.llm import boilerplate, cuts, lines, mixing, pii, residue, tokens
+from cribble.llm import boilerplate, cuts, lines, mixing, pii, problems, residue, tokens
 from cribble.sources.tables import table
 
 
@@ -99,7 +99,7 @@ def p5_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     every = [p1_found, p1_rebuilt, p3_found, p3_body, p5_found, p5_redacted, p6_found, p8_ids, p9_mix, p9_report, p10_found, p10_rates]
-    return {f.__name__: f for f in every}
+    return {f.__name__: f for f in every} | problems.queries()
 
 
 SITE_SQL = "regexp_replace(regexp_replace(regexp_replace(lower(source_domain), ':[0-9]*$', ''), '\\.+$', ''), '^www\\.', '')"
@@ -114,4 +114,4 @@ SELECT id AS content_id, line_no FROM n JOIN r USING (site, k)
 
 
 def oracle_sql() -> dict:
-    return {"p1_found": P1_SQL}
+    return {"p1_found": P1_SQL} | problems.oracle_sql()
