@@ -125,3 +125,14 @@ def test_hot_title_loses_no_pair(spark):
     docs = [(i, "같은 제목", " ".join([*(f"c{k}" for k in range(20)), *(f"u{i}x{k}" for k in range(18))])) for i in range(70)]
     got = similar_pairs(spark.createDataFrame(docs, "id long, title string, content string"))
     assert sorted((r.id_a, r.id_b) for r in got.collect()) == [(a, b) for a in range(70) for b in range(a + 1, 70)]
+
+
+def test_split_join(spark):
+    from cribble.operators import skew
+
+    data = spark.createDataFrame([("a" if i % 3 else f"k{i}", i) for i in range(300)], "k string, v int")
+    small = data.groupBy("k").agg(F.count("*").alias("n")).where("k <> 'k3'").withColumn("x", F.length("k"))
+    for hot in (2, 5000):
+        skew.HOT, before = hot, skew.HOT
+        assert rows(skew.split_join(data, small, ["k"]), "v", "x") == sorted((i, 1 if i % 3 else len(f"k{i}")) for i in range(300) if i != 3)
+        skew.HOT = before
