@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cribble.functions.text import site
 from cribble.llm import boilerplate, cuts, lines, mixing, pii, problems, residue, tokens
+from cribble.operators.lineage import cut
 from cribble.sources.tables import table
 
 
@@ -21,7 +22,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-blank lines outside the main body."""
-    bad = residue.residue_ids(_contents(spark, sf_dir, "title", "content"))
+    bad = cut(residue.residue_ids(_contents(spark, sf_dir, site(F.col("source_domain")).alias("site"), "title", "content")))
     docs = _contents(spark, sf_dir, site(F.col("source_domain")).alias("host"), F.col("source_name").alias("name"), "content")
     return boilerplate.furniture(docs.join(bad, "id", "left_anti")).select(F.col("id").alias("content_id"), "line_no")
 
@@ -33,7 +34,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contents that are residue or error pages."""
-    return residue.residue_ids(_contents(spark, sf_dir, "title", "content")).withColumnRenamed("id", "content_id")
+    return residue.residue_ids(_contents(spark, sf_dir, site(F.col("source_domain")).alias("site"), "title", "content")).withColumnRenamed("id", "content_id")
 
 
 def _documents(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:

@@ -1,10 +1,15 @@
-"""Template residue and error pages.
-
-A content is taken as one message. Messages are mined with a prefix tree of fixed depth: the level of the token
-count, then the first three tokens, numbers and codes masked; messages in one leaf form a template, in which
-positions with one value only are constant and the others are slots. Each template is classified once and its
-verdict is passed to all its records. Unfilled slots inside ordinary records are found separately, in title and
-content; a slot that is quoted or spoken about is none.
+"""Template residue, filler and error pages.
+
+1. *Templates.* Each content is a message, known by its longest line. Messages are mined with a prefix tree of fixed
+   depth: the level of the line's token count, then its first three tokens, with numbers and codes masked. What
+   reaches one leaf is one template. A leaf is classified once, from what all its messages say together:
+   * it *recurs*, if it stands on many sites, the more the longer its messages are (a reposted article stands on a
+     few, a message of a server on most), or
+   * it is a *notice*, if most of its messages consist of lines that say what notices say.
+   The verdict goes to all records of the leaf. In a leaf that only recurs, a record's other lines must recur as well.
+2. *Filler.* A message made of words that hardly any longer text uses, while several sites' messages do.
+3. *Slots.* Unfilled slots inside ordinary records are found separately, in title and content; a slot that is quoted
+   or spoken about is none.
 
 Null titles and contents count as empty; an empty content is no residue.
 """
@@ -13,7 +18,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cribble.operators.lineage import cut
+from cribble.operators.skew import split_join
+
 DEPTH = 3
+#: Sites on which a template of no length recurs, the tokens that ask for as many again, and the most that are asked for.
+SITES, LENGTH, MOST_SITES = 4, 15, 48
+#: Words of a message that may be filler; longer texts are articles, whose words count against it.
+MESSAGE = 60
+#: Share of a filler's words, counted with repetition, that such messages have to themselves.
+OWN = 0.5
 MASK = r"[0-9]+|\b[b-df-hj-np-tv-z]{8,}\b"
 
 # What a line of an error, access, deletion, maintenance, bot-check or script notice says.
@@ -28,17 +42,10 @@ NOTICES = [
     r"(시스템|서버|서비스|정기) ?점검 중", r"점검 시간", r"이용이 (제한|중단)", r"잠시 후 다시", r"(under|scheduled) maintenance",
     r"(enable|turn on|requires?|needs?) (java ?script|cookies)", r"checking your browser", r"verify (that )?you are (a )?human", r"just a moment",
     r"자바스크립트를 (사용할 수 없|켜|허용|활성화)", r"스크립트 실행을", r"브라우저(입니다|를 업데이트)", r"비정상적인 접근", r"자동 등록 방지", r"(그림|보안)의? ?문자를 입력", r"로봇이 아닙",
-    r"본문 내용을 입력", r"문단 예시", r"자리를 채우기", r"내용을 입력하세요", r"lorem ipsum",
+    r"내용을 입력하세요", r"lorem ipsum",
     r"\A\W*(req|code|ref|trace|request|error|incident|id)\b[ :#=]*(<\*>|[a-z0-9-]+)\W*\z", r"\A<\*>\z",
 ]
-# Words that only fill space.
-FILLERS = (
-    "가나다라 마바사 마바사아 자차카타 파하 ㅁㄴㅇㄹ 채움글 예시문장 아무말 테스트 내용 입력 "
-    "lomet ipra dolun sarit amenta consel vardi elitum senda quorum tiva molesta grava nontur ustel "
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua"
-).split()
-FILLER = r"\A(?:(?:" + "|".join(FILLERS) + r")[\s.,]*)+\z"
-LINE = "|".join([*(f"(?:{n})" for n in NOTICES), FILLER])
+LINE = "|".join(f"(?:{n})" for n in NOTICES)
 
 # Forms of unfilled slots.
 SLOTS = [
@@ -63,44 +70,71 @@ def masked(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r" ?\n[ \n]*", "\n"), MASK, "<*>")
 
 
-def leaf(message: Column) -> list[Column]:
-    """The path in the prefix tree: token count, then the first DEPTH tokens."""
-    t = F.split(F.trim(F.replace(message, F.lit("\n"), F.lit(" "))), " +")
-    return [F.size(t).alias("count"), *(F.coalesce(F.get(t, F.lit(i)), F.lit("")).alias(f"t{i}") for i in range(DEPTH))]
-
-
 def has_slot(c: Column) -> Column:
     return F.regexp_replace(c, QUOTED, "").rlike(SLOT)
 
 
-def is_notice(message: Column) -> Column:
-    """Whether each line of a masked message is a notice, a code or filler."""
-    lines = F.filter(F.split(message, "\n"), lambda x: F.trim(x) != "")
-    return (F.size(lines) > 0) & F.forall(lines, lambda x: F.trim(x).rlike(LINE))
+def lines_of(message: Column) -> Column:
+    return F.filter(F.split(message, "\n"), lambda x: F.trim(x) != "")
 
 
-def templates(docs: DataFrame) -> DataFrame:
-    """(count, t0, t1, t2, n, sample, one): leaves of the tree with their number of records, a message, and whether it is their only one."""
-    m = docs.select(masked(_text("content")).alias("message"))
-    m = m.where("message <> ''").select("message", *leaf(F.col("message")))
-    keys = ["count", *(f"t{i}" for i in range(DEPTH))]
-    return m.groupBy(*keys).agg(F.count("*").alias("n"), F.min("message").alias("sample"), F.max("message").alias("last"))
+def path(line: Column) -> Column:
+    """The leaf of a masked line in the prefix tree: token count, then the first DEPTH tokens."""
+    t = F.split(F.trim(line), " +")
+    return F.xxhash64(F.size(t), *(F.coalesce(F.get(t, F.lit(i)), F.lit("")) for i in range(DEPTH)))
 
 
-def residue_ids(docs: DataFrame) -> DataFrame:
-    """(id): records to exclude. docs: id, title, content.
+def _says(line: Column) -> Column:
+    return F.trim(line).rlike(LINE)
+
 
-    A leaf's least and greatest message stand for it: if both are notices, so is the template, and its records
-    inherit the verdict. In a leaf with mixed messages, records are judged by their own.
+def messages(docs: DataFrame) -> DataFrame:
+    """(id, site, tokens, paths, main, said, slot): docs as messages. main: leaf of the longest line, paths: those of all
+    lines, said: each line says what notices say. docs: id, site, title, content."""
+    m = docs.select("id", F.xxhash64("site").alias("site"), _text("title").alias("title"), _text("content").alias("content")).select(
+        "id", "site", lines_of(masked(F.col("content"))).alias("lines"), (has_slot(F.col("title")) | has_slot(F.col("content")) | F.col("title").rlike(BARE_TITLE)).alias("slot"))
+    m = m.withColumn("longest", F.array_max(F.transform("lines", lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"])
+    # the other lines are only looked at where the longest says something
+    said = F.when(_says(F.col("longest")), F.forall("lines", _says)).otherwise(F.lit(False))
+    tokens = F.aggregate("lines", F.lit(0), lambda n, x: n + F.size(F.split(F.trim(x), " +")))
+    return m.select("id", "site", tokens.alias("tokens"), F.transform("lines", path).alias("paths"), path(F.col("longest")).alias("main"), F.coalesce(said, F.lit(False)).alias("said"), "slot")
+
+
+def templates(m: DataFrame) -> DataFrame:
+    """(main, n, sites, tokens, notice, recurs): leaves of the tree over all messages with their verdicts.
+
+    sites: a lower bound of the number of sites, from a set of 64 bits.
     """
-    d = docs.select("id", _text("title").alias("title"), _text("content").alias("content"))
-    m = d.select("id", masked(F.col("content")).alias("message"), (has_slot(F.col("title")) | has_slot(F.col("content")) | F.col("title").rlike(BARE_TITLE)).alias("slot"))
-    m = m.select("id", "message", "slot", *leaf(F.col("message")))
-    keys = ["count", *(f"t{i}" for i in range(DEPTH))]
-    # only messages that could be notices are mined: the first line of a notice is one
-    first = F.regexp_extract("message", r"\A\s*([^\n]*)", 1)
-    maybe = m.where(F.trim(first).rlike(LINE))
-    t = maybe.groupBy(*keys).agg(F.min("message").alias("lo"), F.max("message").alias("hi"))
-    t = t.select(*keys, (is_notice(F.col("lo")) & is_notice(F.col("hi"))).alias("all"), (is_notice(F.col("lo")) | is_notice(F.col("hi"))).alias("any"))
-    told = maybe.join(t, keys).where(F.col("all") | (F.col("any") & is_notice(F.col("message"))) | (~F.col("any") & is_notice(F.col("message"))))
-    return told.select("id").union(m.where("slot").select("id")).distinct()
+    t = m.where("size(paths) > 0").groupBy("main").agg(
+        F.count("*").alias("n"), F.bit_count(F.bit_or(F.expr("shiftleft(1L, cast(pmod(site, 64) as int))"))).alias("sites"), F.avg("tokens").alias("tokens"), F.avg(F.col("said").cast("int")).alias("share"))
+    need = F.least(SITES * (1 + F.col("tokens") / LENGTH), F.lit(float(MOST_SITES)))
+    return t.select("main", "n", "sites", "tokens", (F.col("share") > 0.5).alias("notice"), (F.col("sites") >= need).alias("recurs"))
+
+
+def of_templates(m: DataFrame) -> DataFrame:
+    """(id): messages of leaves that are notices or recur, all of whose lines do."""
+    known = cut(templates(m).where("notice or recurs").select("main", "n"))
+    found = split_join(m.select("id", "site", "main", "paths", "said"), known, ["main"]).select("id", "site", "said", F.explode("paths").alias("path"))
+    found = cut(found)
+    line = found.groupBy("path").agg(F.count("*").alias("n"), F.bit_count(F.bit_or(F.expr("shiftleft(1L, cast(pmod(site, 64) as int))"))).alias("sites"), F.avg(F.col("said").cast("int")).alias("share"))
+    line = cut(line.select("path", "n", ((F.col("sites") >= SITES) | (F.col("share") > 0.5)).alias("ok")))
+    return split_join(found.select("id", "path"), line, ["path"]).groupBy("id").agg(F.bool_and("ok").alias("ok")).where("ok").select("id")
+
+
+def fillers(docs: DataFrame) -> DataFrame:
+    """(id): messages of at most MESSAGE words, most of whose words stand in such messages of several sites and hardly elsewhere."""
+    words = F.filter(F.split(F.lower(F.col("content")), r"(?U)[\s\x1c-\x1f.,]+"), lambda x: x != "")
+    d = docs.where("content is not null").select("id", F.xxhash64("site").alias("site"), words.alias("words"))
+    short = F.size("words") <= MESSAGE
+    bit = F.when(F.col("short"), F.expr("shiftleft(1L, cast(pmod(site, 64) as int))")).otherwise(F.lit(0).cast("long"))
+    each = d.select("site", short.alias("short"), F.explode(F.array_distinct("words")).alias("word"))
+    n = each.groupBy("word").agg(F.count("*").alias("n"), F.count_if("short").alias("shorts"), F.bit_count(F.bit_or(bit)).alias("sites"))
+    own = cut(n.where((F.col("sites") >= 3) & (F.col("shorts") >= 0.8 * F.col("n"))).select("word", "n"))
+    few = d.where(short).select("id", F.size("words").alias("all"), F.explode("words").alias("word"))
+    return split_join(few, own, ["word"]).groupBy("id", "all").agg(F.count("*").alias("k")).where(F.col("k") >= OWN * F.col("all")).select("id")
+
+
+def residue_ids(docs: DataFrame) -> DataFrame:
+    """(id): records to exclude. docs: id, site, title, content."""
+    m = cut(messages(docs))
+    return m.where("slot").select("id").union(of_templates(m)).union(fillers(docs)).distinct()

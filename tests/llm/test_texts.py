@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cribble.llm import boilerplate, cuts, lines, mixing, pagelines, pii, residue, tokens
+from cribble.llm import boilerplate, cuts, lines, mixing, pii, residue, tokens
 
 
 def rows(df, *cols):
@@ -44,30 +44,47 @@ def test_deltas_equal_one_pass(spark):
 
 # -- page bodies
 
-PAGE = ["홈 | 로그인 | 검색 | 경제", "홈 > 경제 > 새날일보", "입력 2025.01.02 03:04 수정 2025.01.03 10:00", "본문의 첫 문장은 길게 이어진다. 다음 문장도 있다.", "사건 개요", "두 번째 문단은 공유하기로 했다.", "- 목록의 항목은 문장이다.", "[광고] 새날일보 특가 모음", "관련기사", "■ 다른 글의 제목 하나", "■ 다른 글의 제목 둘", "#태그 #둘", "홍길동 기자 a@b.co", "저작권자 ⓒ 새날일보, 무단전재 및 재배포 금지"]
+BODY = ["처음", "가운데", "마지막", "새벽", "오후", "주말"]
 
 
-def test_typed_slots_and_link_blocks():
-    assert pagelines.outside_body(PAGE, "새날일보", "x.example") == [0, 1, 2, 7, 8, 9, 10, 11, 12, 13]
-    assert pagelines.outside_body([], "", "") == [] and pagelines.outside_body(["", " "], "", "") == []
+def pages(n=24, host="h"):
+    """Pages of one site: menus, a consent line, bodies with subheads, links under a heading, a byline, a long notice."""
+    r = random.Random(3)
+    out = []
+    for i in range(n):
+        body = [f"{r.choice(BODY)} {i}번 글의 {a} 문장은 {r.choice(BODY)} {chr(0xAC00 + i * 37 + k)}에서 이어진다." for k, a in enumerate(("첫", "둘째", "셋째"))]
+        lines = ["대문 | 소식 | 알림", "쓰기 · 알림" if i % 2 else "대문", body[0], "무엇이 바뀌나", body[1], "새날 특가 모음 바로가기" if i % 3 else "끼어든 말", body[2]]
+        lines += ["더 읽을거리", f"◇ “{r.choice(BODY)} {chr(0xAC00 + i * 91)}” 이야기", f"◇ {chr(0xB000 + i * 17)} 두고 논란", f"글쓴이 {chr(0xAC00 + i * 11)}솔 a{i}@b.co"]
+        lines += ["이 자리에 놓인 글을 옮기려면 " + "미리 허락을 얻어야 하며 " * 12 + "그렇지 않으면 안 됩니다."]
+        out.append((i, host, "새날" if i % 4 else None, "\n".join(lines)))
+    return out
 
 
 def test_tree_matching():
-    a, b = boilerplate.tree(["m", "x1", "", "f"]), boilerplate.tree(["m", "", "x2", "f"])
-    assert a == [("m", "x1"), ("f",)]
-    assert boilerplate.match_trees(a, b) == ["m", "f"]
-    pages = [["우리동네 알림판", f"본문 {i} 이다.", "맺는 표지"] for i in range(6)]
-    assert boilerplate.wrapper(pages) == {"우리동네 알림판", "맺는 표지"}
-    assert boilerplate.wrapper(pages[:2]) == set()
+    assert boilerplate.match_lines(list("abcd"), list("axcd")) == [(0, 0), (2, 2), (3, 3)]
+    assert boilerplate.match_trees([["m", "x"], ["f"]], [["m"], ["y"], ["f", "z"]]) == [(1, 0, 2, 0), (0, 0, 0, 0)]
+    assert boilerplate.match_trees([], [["a"]]) == [] and boilerplate.match_trees([["a"]], [["b"]]) == []
+
 
+@pytest.mark.parametrize("part", [512, 5])
+def test_wrapper_decides(spark, part, monkeypatch):
+    """Constants around the body, slots of the site, links under their heading and bylines go; subheads and sentences stay, however long the template's lines are."""
+    monkeypatch.setattr(boilerplate, "PAGES", part)
+    docs = pages() + [(900, "h", None, None), (901, "h", None, ""), (902, None, None, "하나뿐인 글이다.\n제목 없는 줄")]
+    df = spark.createDataFrame(docs, "id long, host string, name string, content string").withColumn("spread", F.lit(1)).withColumn("part", F.lit(1))
+    got = rows(boilerplate.furniture(df), "id", "line_no")
+    want = sorted((i, k) for i, _, _, c in pages() for k in ([0, 1] + ([5] if i % 3 else []) + [7, 8, 9, 10, 11]))
+    assert got == want
+    body = {r.id: r.content for r in boilerplate.main_body(df).collect()}
+    assert len(body) == len(docs) and body[1].split("\n")[1] == "무엇이 바뀌나" and len(body[1].split("\n")) == 4
+    assert rows(boilerplate.furniture(df.limit(0)), "id") == []
 
-def test_furniture_by_alignment(spark):
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    docs = [(i, "h", None, f"이곳의 고유 표지\n본문 문장 {i} 번이 {'가나다라'[i % 4]} 여기에 있다.\n끝 표지 문구") for i in range(8)] + [(9, None, None, None), (10, "one", None, "")]
-    df = spark.createDataFrame(docs, "id long, host string, name string, content string").withColumn("spread", F.lit(1))
-    assert rows(boilerplate.furniture(df), "id", "line_no") == [(i, 2) for i in range(8)]
-    assert len(boilerplate.main_body(df).collect()) == 10
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+def test_one_page_hosts_take_what_is_constant_over_hosts(spark):
+    more = [(1000 + k, f"one{k}", "새날", c) for k, (_, _, _, c) in enumerate(pages(6))]
+    df = spark.createDataFrame(pages() + more, "id long, host string, name string, content string")
+    got = rows(boilerplate.furniture(df).where("id >= 1000"), "id", "line_no")
+    assert {k for i, k in got if i == 1001} == {0, 1, 5, 7, 8, 9, 10, 11}
 
 
 # -- personal information
@@ -110,16 +127,38 @@ def test_find_and_redact(spark):
 NOTICE = "404 Not Found\nThe requested resource was not found on this server."
 DOCS = [
     (1, "글", NOTICE), (2, "글", NOTICE + "\n(code: bcdfghjklmnp)"), (3, "글", "본문에 {{ reporter.name }} 기자가 있다."), (4, "글", "화면에 ‘{{이름}}’ 같은 표시가 노출됐다."), (5, "undefined - 새날", "보통의 글이다."), (6, "글", "보통의 글이다. 404 Not Found 안내만 보였다고 한다."),
-    (7, None, None), (8, "", ""), (9, "글", "채움글 아무말 ㅁㄴㅇㄹ 테스트"), (10, "글", "${변수} 표기를 예로 들었다."), (11, "글", "교재는 undefined 값과 null 값을 적었다."), (12, "[단독] 제목", "글 [object Object] 글"), (13, "글", NOTICE + "\n그런데 이 글은 본문이 더 있다."), (14, "%%TITLE%%", "본문이다."), (15, "다른 글", NOTICE),
+    (7, None, None), (8, "", ""), (10, "글", "${변수} 표기를 예로 들었다."), (11, "글", "교재는 undefined 값과 null 값을 적었다."), (12, "[단독] 제목", "글 [object Object] 글"), (13, "글", NOTICE + "\n" + " ".join(f"이 글에는 {k}째 낱말{k} 다음에{k} 또 본문{k} 이어진다." for k in range(20))), (14, "%%TITLE%%", "본문이다."), (15, "다른 글", NOTICE),
 ]
 
 
+def residue_docs(spark, docs):
+    return spark.createDataFrame(docs, "id long, site string, title string, content string").withColumn("main", F.lit(0)).withColumn("n", F.lit(0))
+
+
 def test_residue(spark):
-    df = spark.createDataFrame(DOCS, "id long, title string, content string").withColumn("count", F.lit(0)).withColumn("t0", F.lit(0))
-    assert rows(residue.residue_ids(df), "id") == [(1,), (2,), (3,), (5,), (9,), (12,), (14,), (15,)]
+    df = residue_docs(spark, [(i, f"s{i % 3}", t, c) for i, t, c in DOCS])
+    assert rows(residue.residue_ids(df), "id") == [(1,), (2,), (3,), (5,), (12,), (14,), (15,)]
     assert rows(residue.residue_ids(df.limit(0)), "id") == []
-    t = residue.templates(df)
-    assert t.where("n > 1").count() >= 1
+
+
+def test_templates_that_recur(spark):
+    """A message of no known words is a template once many sites send it; a longer reposted article, and a page with a text of its own, are none."""
+    said = "zq {} wertig\nupsala mortig donk"
+    docs = [(i, f"s{i}", f"제목 {i}", said.format(i)) for i in range(20)]
+    article = "\n".join(" ".join(f"낱말{a}x{k}" for k in range(40)) for a in range(5))
+    docs += [(100 + i, f"s{i}", "글", article) for i in range(9)] + [(200, "s1", "글", "zq 7 wertig\n여기에는 글이 더 있다\nupsala mortig donk")] + [(300 + i, "s1", "글", "한 사이트에만 있는 짧은 글 모음") for i in range(9)]
+    m = residue.messages(residue_docs(spark, docs)).cache()
+    assert rows(residue.of_templates(m), "id") == [(i,) for i in range(20)]
+    assert residue.templates(m).where("recurs").count() == 1
+
+
+def test_fillers(spark):
+    """Words of messages only make filler, wherever they come from; what longer texts use doesn't."""
+    r = random.Random(2)
+    filler, usual = [f"blor{k}" for k in range(12)], [f"낱말{k}" for k in range(400)]
+    docs = [(i, f"s{i % 5}", "글", " ".join(r.choices(filler, k=15))) for i in range(15)] + [(100 + i, f"s{i % 5}", "글", " ".join(r.sample(usual, 150))) for i in range(30)] + [(200 + i, f"s{i % 5}", "글", " ".join(r.sample(usual, 12))) for i in range(15)]
+    df = residue_docs(spark, [*docs, (300, "s", None, None), (301, "s", "", " \n ")])
+    assert rows(residue.fillers(df), "id") == [(i,) for i in range(15)]
 
 
 # -- tokens
