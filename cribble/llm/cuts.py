@@ -2,13 +2,15 @@
 
 Two kinds of evidence:
 
+* A longer copy. Every text, and every text without the mark of a cut behind it, is looked up among the beginnings of
+  all longer texts. Texts are hashed at fixed lengths of 1, 2, 4, 8, ... characters; a text looks up its longest such
+  prefix among those of the others, which tells which texts could continue it and at which lengths (fewer than twice
+  the prefix). Only those are then hashed at just these lengths, and a text whose whole hash is among them is a strict
+  prefix. No pair of texts is formed, equal texts count once, and no length is left out.
 * The end itself: a mark of a cut behind a broken sentence, a broken entity, tag, escape or character, or a last
   sentence that neither closes nor is a usual ending (sign-off, list item, notice, tag, caption).
-* A longer copy: by a self-join on hashed prefixes of fixed length, texts are found that are strict prefixes of a
-  longer text. Texts that begin with the first 32 characters of a suspect put out the hash of their prefixes of 32,
-  64, ... characters with the characters after each; a suspect looks up its longest such prefix and compares the
-  rest. Equal rows are merged first, so that copies don't multiply. Suspects of up to 32 characters aren't looked up.
 
+A text with a longer copy is cut if the copy goes on within the word, or if the text's end doesn't close a sentence.
 Ends that could be either (a plain verb form without a stop) count as cut only with a longer copy. Null, empty and
 blank texts are not cut.
 """
@@ -20,8 +22,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-STEP = 32
-#: The end of a text that is looked at; what closes or breaks a text is shorter.
+from cribble.operators.lineage import cut
+
+#: Characters of the end that are looked at first; where a mark or sounds fill them, twice as many, and so on.
 TAIL_CHARS = 160
 
 # Marks that a field limit or a list page leaves behind a cut text.
@@ -42,6 +45,28 @@ ENDINGS = re.compile(
 VERB = re.compile(r"(?:[다요죠까네]|니다|세요)$")
 
 
+def tail_of(t: str) -> str:
+    """So much of the end that it begins before any mark, sounds or signs at the end."""
+    n = TAIL_CHARS
+    while n < len(t):
+        end = t[-n:]
+        m, s = MARK.search(end), TAIL.search(end)
+        if not (m and m.start() == 0 or s and s.start() == 0):
+            return end
+        n *= 2
+    return t
+
+
+def unmarked(text: str) -> str | None:
+    """The text without a mark of a cut and blanks behind it; null where there is no mark, or nothing else."""
+    t = text.rstrip()
+    end = tail_of(t)
+    m = MARK.search(end)
+    if not m:
+        return None
+    return t[: len(t) - len(end) + m.start()].rstrip() or None
+
+
 def judge(text: str) -> int:
     """0: complete; 1: cut; 2: complete or cut, a longer copy decides."""
     t = text.rstrip()
@@ -49,7 +74,7 @@ def judge(text: str) -> int:
         return 0
     if t[-1] in ".!?" and t[-2:] != "..":
         return 0
-    t = t[-TAIL_CHARS:]
+    t = tail_of(t)
     if BROKEN.search(t) and not CLOSED.search(t):
         return 1
     marked = MARK.search(t)
@@ -73,57 +98,84 @@ def judge(text: str) -> int:
     return 2 if VERB.search(bare) else 1
 
 
-def _probe(batches):
-    """(id, source, head, text) -> (id, source, verdict, head, key, rest): of suspects the hash of the text's head, of its longest prefix, and what follows that."""
+def prefix_hashes(text: str) -> list[int]:
+    """Hashes of the prefixes of 1, 2, 4, 8, ... characters, up to the whole text."""
     import xxhash
 
-    for batch in batches:
-        heads = batch.column(2).to_pylist()
-        verdicts, keys, rests = [], [], []
-        for k, x in enumerate(batch.column(3).to_pylist()):
-            v = judge(x) if x and not x.isspace() else 0
-            at = (len(x) - 1) // STEP * STEP if v else 0
-            verdicts.append(v)
-            keys.append(xxhash.xxh3_64_intdigest(x[:at].encode("utf-8", "surrogatepass")) - (1 << 63) if at else None)
-            rests.append(x[at:] if at else None)
-            if not at:
-                heads[k] = None
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(verdicts, pa.int32()), pa.array(heads, pa.int64()), pa.array(keys, pa.int64()), pa.array(rests, pa.string())], ["id", "source", "verdict", "head", "key", "rest"])
+    h, out, at, n = xxhash.xxh3_64(), [], 0, 1
+    while n <= len(text):
+        h.update(text[at:n].encode("utf-8", "surrogatepass"))
+        out.append(h.intdigest() - (1 << 63))
+        at, n = n, 2 * n
+    return out
 
 
-PROBE = "id long, source string, verdict int, head long, key long, rest string"
+def _whole(text: str) -> bytes:
+    import xxhash
 
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
-def _prefixes(batches):
-    """(text) -> (key, next): hashes of the prefixes of 32, 64, ... characters with up to 33 characters after each."""
-    import xxhash
 
+LOOKS = "id long, source string, verdict int, whole binary, keys array<long>, look array<struct<key:long,n:int,whole:binary>>"
+
+
+def _looks(batches):
+    """(id, source, text) -> LOOKS: how a text ends, the hashes of its prefixes, and what it looks up."""
+    for batch in batches:
+        verdicts, wholes, keys, looks = [], [], [], []
+        for x in batch.column(2).to_pylist():
+            x = x or ""
+            t = x.rstrip()
+            h = prefix_hashes(x)
+            verdicts.append(judge(x))
+            wholes.append(_whole(x))
+            keys.append(h)
+            found = []
+            for y in (t, unmarked(x) if t else None):
+                if y:
+                    found.append({"key": h[len(y).bit_length() - 1], "n": len(y), "whole": _whole(y)})
+            looks.append(found)
+        look = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int32()), ("whole", pa.binary())]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(verdicts, pa.int32()), pa.array(wholes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(looks, look)], [c.split()[0] for c in LOOKS.split(", ")[:5]] + ["look"])
+
+
+def _beginnings(batches):
+    """(text, lengths) -> (whole, goes_on): hashes of the text's beginnings, and whether its word goes on behind them."""
     for batch in batches:
-        keys, nexts = [], []
-        for x in batch.column(0).to_pylist():
-            h = xxhash.xxh3_64()
-            for at in range(STEP, len(x or ""), STEP):
-                h.update(x[at - STEP : at].encode("utf-8", "surrogatepass"))
-                keys.append(h.intdigest() - (1 << 63))
-                nexts.append(x[at : at + STEP + 1])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nexts, pa.string())], ["key", "next"])
+        wholes, on = [], []
+        for x, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            end = len(x.rstrip())
+            for n in lengths:
+                if n < end:
+                    wholes.append(_whole(x[:n]))
+                    on.append(not x[n].isspace())
+        yield pa.RecordBatch.from_arrays([pa.array(wholes, pa.binary()), pa.array(on, pa.bool_())], ["whole", "goes_on"])
+
+
+def longer_copies(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, goes_on): texts that are, with or without a mark, the beginning of a longer one. rows: LOOKS of docs (id, text)."""
+    look = rows.select("id", F.explode("look").alias("x")).select("id", "x.key", "x.n", "x.whole")
+    # at most as many lengths as the prefix has characters
+    lengths = look.groupBy("key").agg(F.collect_set("n").alias("lengths"), F.min("n").alias("least"))
+    texts = rows.groupBy("whole").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("id"))
+    mine = texts.select("id", F.explode("keys").alias("key"))
+    could = mine.join(lengths.hint("merge"), "key").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lengths"))).alias("lengths"))
+    # most texts only meet themselves: those need no second look
+    sizes = docs.select("id", F.length("text").alias("size"))
+    could = could.join(sizes, "id").withColumn("lengths", F.filter("lengths", lambda n: n < F.col("size"))).where("size(lengths) > 0").drop("size")
+    begun = docs.join(could.hint("merge"), "id").select("text", "lengths").mapInArrow(_beginnings, "whole binary, goes_on boolean")
+    begun = begun.groupBy("whole").agg(F.bool_or("goes_on").alias("goes_on"))
+    return look.join(begun.hint("merge"), "whole").groupBy("id").agg(F.bool_or("goes_on").alias("goes_on"))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
     """(id, source, cut): docs is (id, source, text)."""
-    head = F.xxhash64(F.substring("text", 1, STEP))
-    d = docs.select(F.col("id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), head.alias("head"), "text")
-    p = d.mapInArrow(_probe, PROBE)
-    suspects = p.where("key is not null").select("head", "key", "rest").distinct()
-    likely = d.where(f"length(text) > {STEP}").select("head", "text").join(suspects.select("head").distinct().hint("merge"), "head", "left_semi")
-    # distinct on both sides: a text shared by a third of all rows is one row here
-    longer = likely.select("text").mapInArrow(_prefixes, "key long, next string").distinct()
-    found = suspects.join(longer.hint("merge"), "key").where(F.startswith("next", "rest") & (F.length("next") > F.length("rest")))
-    found = found.select("key", "rest").distinct().withColumn("copy", F.lit(True))
-    # rows without a key get one of their own, so that they don't all meet in one task; without a rest they match nothing
-    p = p.withColumn("key", F.coalesce("key", F.xxhash64("id")))
-    j = p.join(found.hint("merge"), ["key", "rest"], "left")
-    return j.select("id", "source", ((F.col("verdict") == 1) | ((F.col("verdict") == 2) & F.coalesce("copy", F.lit(False)))).alias("cut"))
+    d = docs.select(F.col("id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), "text")
+    rows = cut(d.mapInArrow(_looks, LOOKS))
+    found = longer_copies(rows, d.where("text <> ''").select("id", "text"))
+    j = rows.select("id", "source", "verdict").join(found, "id", "left")
+    return j.select("id", "source", ((F.col("verdict") == 1) | (F.col("goes_on").isNotNull() & (F.coalesce("goes_on", F.lit(False)) | (F.col("verdict") == 2)))).alias("cut"))
 
 
 def rates(v: DataFrame) -> DataFrame:

@@ -278,3 +278,40 @@ def test_longer_copies(spark):
     assert rows(v.where("cut"), "id") == [(2,), (6,), (7,)]
     assert {(r.source, r.texts, r.cut_texts) for r in cuts.rates(v).collect()} == {("a", 2, 1), ("b", 4, 1), (None, 1, 1)}
     assert cuts.verdicts(df.limit(0)).count() == 0
+
+
+def test_every_text_is_looked_up(spark):
+    """Short texts, texts that end like complete ones, texts with a mark behind a verb, and long ends of sounds."""
+    full = "원주율은 3.14이다. 그는 \"끝났다.\"라고 말했다. 그리고 이어진 글이 더 있다"
+    docs = [
+        (1, "a", full + "."), (2, "a", "원주율은 3."), (3, "a", full[: full.index("라고")]), (4, "a", "원주율은 3.14이다. [전문보기]"), (5, "a", "그리고 이어진 글이 더 있다"), (6, "a", "원"), (7, "a", full + " ... [더보기]"), (8, "a", full + ".  "),
+        (9, "b", "요"), (10, "b", "요 앞의 글."), (11, "b", "다른 글이다.\n둘째 줄이다."), (12, "b", "다른 글이다."), (13, "b", "문장이 끝났다" + "ㅋ" * 700), (14, "b", "문장의 가운데 뒤늦" + " " * 500 + "..." ), (15, "b", "그렇게 말했다 [전문보기]"), (16, "b", "그렇게 말했다고 전했다."),
+    ]
+    df = spark.createDataFrame(docs, "id long, source string, text string").withColumn("n", F.lit(1)).withColumn("whole", F.lit(1))
+    plain = set()
+    for i, _, x in docs:
+        for y in {x.rstrip(), cuts.unmarked(x) or x.rstrip()}:
+            longer = [z for _, _, z in docs if z.startswith(y) and len(z.rstrip()) > len(y)]
+            if any(not z[len(y)].isspace() for z in longer) or longer and cuts.judge(x) == 2:
+                plain.add(i)
+        if cuts.judge(x) == 1:
+            plain.add(i)
+    got = {r.id for r in cuts.verdicts(df).where("cut").collect()}
+    assert got == plain
+    assert {2, 3, 6, 7, 14, 15} <= got and not got & {1, 4, 8, 10, 11, 12, 13, 16}
+
+
+def test_beginnings_against_brute_force(spark):
+    r = random.Random(8)
+    docs = [(i, "s", "".join(r.choice("ab ") for _ in range(r.randint(0, 70 if i % 5 else 3)))) for i in range(400)]
+    docs += [(1000 + i, "s", docs[r.randrange(400)][2][: r.randint(0, 60)]) for i in range(100)]
+    df = spark.createDataFrame(docs, "id long, source string, text string")
+    found = {x.id: x.goes_on for x in cuts.longer_copies(df.select("id", "source", "text").mapInArrow(cuts._looks, cuts.LOOKS), df.where("text <> ''").select("id", "text")).collect()}
+    want = {}
+    texts = {x for _, _, x in docs}
+    for i, _, x in docs:
+        y = x.rstrip()
+        hits = [z[len(y)] for z in texts if y and z.startswith(y) and len(z.rstrip()) > len(y)]
+        if hits:
+            want[i] = any(not h.isspace() for h in hits)
+    assert found == want
