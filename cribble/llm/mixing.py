@@ -7,8 +7,8 @@
    Running sums are taken in hash ranges of a few thousand texts, whose totals are summed apart, so that no source is
    gathered in one task.
 3. Schedule: slot i of the mixture takes the point frac(i * golden ratio); the source in whose part of the cumulative
-   shares the point falls owns the slot. Any stretch of the mixture is thereby close to the shares. The slots of a
-   source are ranked, and the r-th slot gets the source's r-th block.
+   numbers of blocks the point falls owns the slot. Any stretch of the mixture is thereby close to the shares. The
+   slots of a source are ranked, and the r-th slot gets the source's r-th block, until each block has its slot.
 
 The cap holds for a text, not for a document: equal texts are one, with the least doc_id. A text of several sources
 belongs to the one with the smallest cap, so it occurs no more often than any of them allows.
@@ -77,22 +77,38 @@ def blocks(sizes: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def schedule(goals: DataFrame) -> DataFrame:
-    """(slot, source, block): which source's which block stands in each slot."""
+    """(slot, source, block): which source's which block stands in each slot.
+
+    Points fall into parts as wide as the sources' numbers of blocks. The sequence gives a part of width w at least
+    n * w - d of its first n points, where d grows with the logarithm of n; should a source still lack slots, the
+    sequence is carried on until none does.
+    """
     spark = goals.sparkSession
-    g = goals.withColumn("blocks", F.ceil(F.col("goal") / BLOCK)).select("source", "share", "blocks")
+    g = goals.withColumn("blocks", F.greatest(F.ceil(F.col("goal") / BLOCK), F.lit(1).cast("long"))).select("source", "blocks")
     # one row per target: a configuration table, so its bounds become literals in the plan
     rows = sorted(g.collect(), key=lambda r: r.source)
     if not rows:
         return spark.createDataFrame([], "slot long, source string, block long")
-    # a source gets its share of slots up to the deviation of the sequence, which is logarithmic
-    slots = int(max(r.blocks / r.share for r in rows) * 1.01) + 64 * len(rows)
-    ends = [sum(r.share for r in rows[: i + 1]) for i in range(len(rows) - 1)]
+    total = sum(r.blocks for r in rows)
+    ends = [sum(r.blocks for r in rows[: i + 1]) / total for i in range(len(rows) - 1)]
+    slots = total + 16
+    while True:
+        s = _slots(spark, slots, rows, ends)
+        got = {r.source: r.n for r in s.groupBy("source").agg(F.count("*").alias("n")).collect()}
+        lack = max(r.blocks - got.get(r.source, 0) for r in rows)
+        if lack <= 0:
+            break
+        slots += max(slots // 8, min(total * lack, slots))
+    s = running(s, ["source"], F.col("slot"), F.shiftright("slot", 12), "one", "block")
+    return s.where("block < blocks").select("slot", "source", "block")
+
+
+def _slots(spark, slots: int, rows: list, ends: list[float]) -> DataFrame:
+    """(slot, source, one, blocks) of the first slots."""
     s = spark.range(slots).select(F.col("id").alias("slot"), F.expr(f"id * {PHI}D - floor(id * {PHI}D)").alias("u"), F.lit(1).alias("one"))
     place = F.size(F.filter(F.array(*map(F.lit, ends)).cast("array<double>"), lambda e: F.col("u") >= e)) + 1
     pick = lambda values, kind: F.element_at(F.array(*map(F.lit, values)).cast(f"array<{kind}>"), place)
-    s = s.select("slot", "one", pick([r.source for r in rows], "string").alias("source"), pick([r.blocks for r in rows], "bigint").alias("blocks"))
-    s = running(s.select("slot", "source", "one", "blocks"), ["source"], F.col("slot"), F.shiftright("slot", 12), "one", "block")
-    return s.where("block < blocks").select("slot", "source", "block")
+    return s.select("slot", pick([r.source for r in rows], "string").alias("source"), "one", pick([r.blocks for r in rows], "bigint").alias("blocks"))
 
 
 def mixture(sizes: DataFrame, targets: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokeniser's pattern, as the tokenizer's files give it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of a chunk and of the overlap with the next.
-CHUNK, OVERLAP = 1 << 18, 1 << 12
+CHUNK, OVERLAP = 1 << 11, 1 << 8
 
 
 def vocabulary(path: str = VOCABULARY) -> bytes:
@@ -128,32 +128,47 @@ def _bound():
     return run
 
 
-def _join(raw: bytes):
-    def run(key, table):
-        rows = sorted(table.to_pylist(), key=lambda r: r["start"])
+def _stitched(raw: bytes, count: bool = False):
+    """(id, chunks) -> (id, ids), or with count (id, tokens): the chunks of one text per row."""
+
+    def run(batches):
         enc = _encoder(raw)
-        ids = [i for piece in stitch([(r["start"], r["text"], r["ends"]) for r in rows]) for i in enc.encode_ordinary(piece)]
-        return pa.table({"id": pa.array([key[0].as_py()], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int32()))})
+        for batch in batches:
+            out = []
+            for chunks in batch.column(1).to_pylist():
+                chunks.sort(key=lambda r: r["start"])
+                out.append([i for piece in stitch([(r["start"], r["text"], r["ends"]) for r in chunks]) for i in enc.encode_ordinary(piece)])
+            got = pa.array([len(x) for x in out], pa.int64()) if count else pa.array(out, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), got], ["id", "tokens" if count else "ids"])
 
     return run
 
 
+def chunked(docs: DataFrame, size: int, overlap: int) -> DataFrame:
+    """(id, chunks) of docs (id, text): chunks pre-tokenised apart, in different tasks."""
+    parts = docs.mapInArrow(_cut(size, overlap), "id long, start long, text string").repartition("id", "start")
+    parts = parts.mapInArrow(_bound(), "id long, start long, text string, ends array<long>")
+    # one text is one value of one row in the end
+    return parts.groupBy("id").agg(F.collect_list(F.struct("start", "text", "ends")).alias("chunks"))
+
+
 def encode(docs: DataFrame, path: str = VOCABULARY, size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(id, ids) of docs (id, text). Texts of up to size characters are encoded where they lie, without a shuffle."""
     raw = vocabulary(path)
     d = docs.select(F.col("id").cast("long").alias("id"), "text")
     short = d.where(f"text is null or length(text) <= {size}").mapInArrow(encode_short(raw), "id long, ids array<int>")
-    parts = d.where(f"length(text) > {size}").mapInArrow(_cut(size, overlap), "id long, start long, text string").repartition("id", "start")
-    parts = parts.mapInArrow(_bound(), "id long, start long, text string, ends array<long>")
-    # one text is one task's work: its ids are one value of one row
-    long = parts.groupBy("id").applyInArrow(_join(raw), "id long, ids array<int>")
+    long = chunked(d.where(f"length(text) > {size}"), size, overlap).mapInArrow(_stitched(raw), "id long, ids array<int>")
     return short.unionByName(long)
 
 
-def token_counts(docs: DataFrame, path: str = VOCABULARY, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(id, extra, tokens) of docs (id, text); extra are string columns to carry along."""
+def token_counts(docs: DataFrame, path: str = VOCABULARY, extra: tuple[str, ...] = (), size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """(id, extra, tokens) of docs (id, text), ids unique; extra are string columns to carry along."""
+    raw = vocabulary(path)
     d = docs.select(F.col("id").cast("long").alias("id"), "text", *extra)
-    return d.mapInArrow(encode_short(vocabulary(path), True), f"id long, {''.join(f'{c} string, ' for c in extra)}tokens long")
+    short = d.where(f"text is null or length(text) <= {size}").mapInArrow(encode_short(raw, True), f"id long, {''.join(f'{c} string, ' for c in extra)}tokens long")
+    over = d.where(f"length(text) > {size}")
+    long = chunked(over.select("id", "text"), size, overlap).mapInArrow(_stitched(raw, True), "id long, tokens long")
+    return short.unionByName(over.select("id", *extra).join(long, "id").select("id", *extra, "tokens"))
 
 
 def decode(ids: list[int], enc) -> str:

@@ -214,7 +214,9 @@ def test_encode_table(spark, enc):
     df = spark.createDataFrame([(1, "짧은 글"), (2, ""), (3, None), (4, long), (5, "a" * 3000), (6, "짧은 글")], "id long, text string").withColumn("start", F.lit(1))
     got = {r.id: r.ids for r in tokens.encode(df, size=512, overlap=64).collect()}
     assert got == {1: enc.encode_ordinary("짧은 글"), 2: [], 3: [], 4: enc.encode_ordinary(long), 5: enc.encode_ordinary("a" * 3000), 6: enc.encode_ordinary("짧은 글")}
-    assert {r.id: r.tokens for r in tokens.token_counts(df).collect()} == {k: len(v) for k, v in got.items()}
+    for size in (512, tokens.CHUNK):
+        assert {r.id: r.tokens for r in tokens.token_counts(df, size=size, overlap=64).collect()} == {k: len(v) for k, v in got.items()}
+    assert len(long) > tokens.CHUNK
 
 
 # -- mixing
@@ -255,6 +257,20 @@ def test_repeat_cap_holds_for_texts(spark):
     assert {r.source: (r.texts, r.most_repeats) for r in mixing.report(twice, targets).collect()} == {"a": (1, 2), "b": (0, 0)}
 
 
+def test_every_block_gets_its_slot(spark):
+    """Sources of tiny shares, and one whose goal rounds to nothing."""
+    r = random.Random(1)
+    for _ in range(6):
+        goals = [(f"s{i}", float(r.choice([0, 1, 5, 8192, 100_000, 3_000_000, 40_000_000]))) for i in range(r.randint(1, 24))]
+        g = spark.createDataFrame(goals, "source string, goal double").withColumn("goal", F.col("goal").cast("long"))
+        got = {x.source: (x.n, x.top) for x in mixing.schedule(g).groupBy("source").agg(F.count_distinct("block").alias("n"), F.max("block").alias("top")).collect()}
+        assert got == {s: (max(1, math.ceil(n / mixing.BLOCK)), max(1, math.ceil(n / mixing.BLOCK)) - 1) for s, n in goals}
+    sizes = spark.createDataFrame([(i, "big", 9000) for i in range(300)] + [(1000, "small", 50)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("big", 0.999999, 1), ("small", 0.000001, 1)], "source string, target_share double, max_repeats int")
+    m = mixing.mixture(sizes, targets)
+    assert m.where("source = 'small'").count() == 1
+
+
 # -- cuts
 
 
