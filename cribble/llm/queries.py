@@ -79,12 +79,10 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contents that hold lines their site repeats, without them, maintained by deltas of two partitions."""
-    docs = _contents(spark, sf_dir, site(F.col("source_domain")).alias("site"), "content", F.pmod(F.xxhash64("id"), F.lit(2)).alias("part"))
-    state = lines.LineCounts(spark)
-    for part in (0, 1):
-        state.merge_partition(docs.where(F.col("part") == part).drop("part"))
-    return lines.rebuild(docs.drop("part"), state.repeated())
+    """The contents that hold lines their site repeats, without them, maintained over two partitions."""
+    docs = _contents(spark, sf_dir, site(F.col("source_domain")).alias("site"), "content")
+    part = F.pmod(F.xxhash64("id"), F.lit(2))
+    return lines.maintain(lines.LineCounts(spark), [docs.where(part == k) for k in (0, 1)])
 
 
 def p3_body(spark: SparkSession, sf_dir: str) -> DataFrame:

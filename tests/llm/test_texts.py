@@ -27,6 +27,12 @@ def test_repeated_lines(spark):
     assert rows(lines.repeated_lines(df.limit(0), 3), "id", "line_no") == []
 
 
+def plain_repeated(docs, least):
+    """{id: line numbers} by counting in Python; lines here are already normal."""
+    held = Counter((s, x) for _, s, c in docs for x in set(c.split("\n")) if len(x) >= 10)
+    return {i: hit for i, s, c in docs if (hit := {k for k, x in enumerate(c.split("\n")) if held[s, x] >= least and len(x) >= 10})}
+
+
 def test_deltas_equal_one_pass(spark):
     r = random.Random(1)
     docs = [(i, r.choice("ab"), "\n".join(f"반복되는 줄 번호{chr(97 + r.randrange(9))}" for _ in range(4))) for i in range(60)]
@@ -36,11 +42,26 @@ def test_deltas_equal_one_pass(spark):
     total = crossed[0].unionByName(crossed[1]).unionByName(crossed[2])
     keys = ["site", "h1", "h2"]
     assert rows(total, *keys) == rows(state.repeated(), *keys) and total.count() == total.select(*keys).distinct().count() > 0
-    want = rows(lines.repeated_lines(df, 10), "id", "line_no")
-    assert rows(lines.hits(lines.line_rows(df), state.repeated()), "id", "line_no") == want
-    kept = {r.id: r.content for r in lines.rebuild(df, state.repeated()).collect()}
-    assert set(kept) == {i for i, _ in want}
-    assert all(kept[i] == "\n".join(x for k, x in enumerate(c.split("\n")) if (i, k) not in want) for i, _, c in docs if i in kept)
+    want = plain_repeated(docs, 10)
+    for parts in (1, 2, 3):
+        assert rows(lines.repeated_lines(df, 10, parts), "id", "line_no") == sorted((i, k) for i, hit in want.items() for k in hit)
+    assert rows(state.holders(total), "id") == sorted((i,) for i in want)
+    before = rows(state.repeated(), *keys, "n")
+    state.compact()
+    assert state.deltas == 1 and rows(state.repeated(), *keys, "n") == before and rows(state.holders(total), "id") == sorted((i,) for i in want)
+
+
+def test_only_documents_of_crossed_lines_are_rebuilt(spark, monkeypatch):
+    docs = [(i, "a", f"앞서 되풀이된 안내 줄\n글 {chr(0xAC00 + i)} 하나뿐인 줄이다") for i in range(6)] + [(10 + i, "a", f"뒤에 되풀이될 안내 줄\n글 {chr(0xAC00 + i)} 하나뿐인 줄이야") for i in range(4)] + [(20, "b", "앞서 되풀이된 안내 줄")]
+    later = [(30, "a", "뒤에 되풀이될 안내 줄"), (31, "a", "앞서 되풀이된 안내 줄\n또 다른 글이 있는 줄"), (32, "a", "아무것도 되풀이되지 않는 줄"), (33, "c", None)]
+    first, second = (spark.createDataFrame(x, "id long, site string, content string") for x in (docs, later))
+    state, built = lines.LineCounts(spark, 5), []
+    real = lines.rebuild
+    monkeypatch.setattr(lines, "rebuild", lambda d, c: built.append(sorted(x.id for x in d.collect())) or real(d, c))
+    got = {x.id: x.content for x in lines.maintain(state, [first, second]).collect()}
+    assert built == [[0, 1, 2, 3, 4, 5], [10, 11, 12, 13, 30, 31]]
+    assert set(got) == {0, 1, 2, 3, 4, 5, 10, 11, 12, 13, 30, 31}
+    assert got[30] == "" and got[31] == "또 다른 글이 있는 줄" and got[0] == "글 가 하나뿐인 줄이다" and got[10] == "글 가 하나뿐인 줄이야"
 
 
 # -- page bodies
