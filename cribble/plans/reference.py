@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cribble.functions import text as tx, urls as ur
+from cribble.functions import rules as ru, text as tx, urls as ur
 from cribble.functions.clean import clean_article
 from cribble.operators import dedup, filters, neardup, store
 from cribble.plans import reports, rules
@@ -158,8 +158,10 @@ SELECT incoming_id, content_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(lis
 def exact_duplicates(s: SparkSession, d: str) -> DataFrame:
     """Incoming records whose digest is stored, with the least such record and the bodies' similarity."""
     c = table(s, d, "contents")
-    first = c.groupBy("content_hash").agg(F.min_by("content", "id").alias("y"), F.min("id").alias("content_id"))
+    # digests and ids first; only the texts of matches are fetched
+    first = c.groupBy("content_hash").agg(F.min("id").alias("content_id"))
     j = table(s, d, "incoming_contents").select("incoming_id", "content_hash", F.col("content").alias("x")).join(first, "content_hash")
+    j = j.join(c.select(F.col("id").alias("content_id"), F.col("content").alias("y")), "content_id")
     return j.select("incoming_id", "content_id", tx.jaccard(tx.words(F.col("x")), tx.words(F.col("y"))).alias("similarity"))
 
 
@@ -227,10 +229,10 @@ def not_stored_yet(s: SparkSession, d: str) -> DataFrame:
     return store.delete_keys(table(s, d, "discarded_candidates").drop("requested_date_from", "requested_date_to"), keys)
 
 
-@query("SELECT id, query_text, provider FROM search_queries WHERE provider = 'tavily' AND status IN ('generated', 'user_edited', 'user_created', 'unused', 'used')")
+@query("SELECT id, query_text, provider FROM search_queries WHERE provider = 'tavily' AND status IN ('generated', 'user_edited', 'user_created')")
 def active_queries(s: SparkSession, d: str) -> DataFrame:
     q = store.matching(table(s, d, "search_queries"), provider="tavily", taxonomy_lv2=None)
-    return q.where(F.col("status").isin("generated", "user_edited", "user_created", "unused", "used")).select("id", "query_text", "provider")
+    return q.where(F.col("status").isin(*reports.ACTIVE)).select("id", "query_text", "provider")
 
 
 @query()
@@ -254,54 +256,76 @@ def export_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("taxonomy_lv2", "type_name", "id", "title", F.coalesce("published_date", F.lit("")).alias("date"), F.col("canonical_url").alias("url"), "source_domain")
 
 
-@query("SELECT content_id, taxonomy_lv2, type_name, CASE WHEN s.bad THEN 'excluded' ELSE decision END AS decision FROM content_taxonomy_mappings m LEFT JOIN (SELECT content_id, taxonomy_lv2, type_name, bool_or(overall < 2.5) AS bad FROM content_quality_scores GROUP BY ALL) s USING (content_id, taxonomy_lv2, type_name)")
+@query(
+    """WITH s AS (SELECT content_id, taxonomy_lv2, type_name, min(overall) AS low FROM content_quality_scores WHERE overall < 2.5 AND NOT isnan(overall) GROUP BY ALL)
+SELECT content_id, taxonomy_lv2, type_name, CASE WHEN low IS NOT NULL AND decision = 'accepted' THEN 'excluded' ELSE decision END AS decision,
+  CASE WHEN low IS NOT NULL AND decision = 'accepted' THEN 'quality_score_overall=' || CAST(low AS VARCHAR) || '(<2.5)' ELSE decision_reason END AS decision_reason
+FROM content_taxonomy_mappings m LEFT JOIN s USING (content_id, taxonomy_lv2, type_name)"""
+)
 def quality_gate(s: SparkSession, d: str) -> DataFrame:
-    """Accepted mappings with a score below 2.5 are demoted."""
+    """Accepted mappings with a score below 2.5 are demoted, with the least score as the reason."""
     keys = ["content_id", "taxonomy_lv2", "type_name"]
-    low = table(s, d, "content_quality_scores").groupBy(*keys).agg(F.bool_or(F.col("overall") < 2.5).alias("bad"))
-    return table(s, d, "content_taxonomy_mappings").join(low, keys, "left").select(*keys, F.when(F.col("bad") & (F.col("decision") == "accepted"), "excluded").otherwise(F.col("decision")).alias("decision"))
+    low = table(s, d, "content_quality_scores").where("overall < 2.5 and not isnan(overall)").groupBy(*keys).agg(F.min("overall").alias("low"))
+    hit = F.col("low").isNotNull() & (F.col("decision") == "accepted")
+    reason = F.concat(F.lit("quality_score_overall="), F.col("low").cast("string"), F.lit("(<2.5)"))
+    j = table(s, d, "content_taxonomy_mappings").join(low, keys, "left")
+    return j.select(*keys, F.when(hit, "excluded").otherwise(F.col("decision")).alias("decision"), F.when(hit, reason).otherwise(F.col("decision_reason")).alias("decision_reason"))
 
 
 @query(
-    """SELECT i.incoming_id, CASE WHEN c.id IS NULL THEN 'new' WHEN m.content_id IS NOT NULL THEN 'duplicate' ELSE 'reuse' END AS way
-FROM incoming_contents i LEFT JOIN contents c ON c.content_hash = i.content_hash AND c.id = (SELECT min(id) FROM contents x WHERE x.content_hash = i.content_hash)
-LEFT JOIN (SELECT DISTINCT content_id FROM content_taxonomy_mappings WHERE decision = 'accepted') m ON m.content_id = c.id"""
+    """WITH x AS (SELECT d.id, d.normalized_url AS url, q.taxonomy_lv2, q.type_name FROM discarded_candidates d JOIN search_queries q ON q.id = d.query_id)
+SELECT x.id, CASE WHEN c.id IS NULL THEN 'fetch' WHEN m.id IS NOT NULL THEN 'duplicate' ELSE 'reuse' END AS way
+FROM x LEFT JOIN contents c ON c.canonical_url = x.url LEFT JOIN content_taxonomy_mappings m ON m.content_id = c.id AND m.taxonomy_lv2 = x.taxonomy_lv2 AND m.type_name = x.type_name"""
 )
 def reuse_or_fetch(s: SparkSession, d: str) -> DataFrame:
-    """A known body not yet accepted for a type is filtered again, an accepted one is a duplicate."""
-    c = table(s, d, "contents").groupBy("content_hash").agg(F.min("id").alias("content_id"))
-    m = table(s, d, "content_taxonomy_mappings").where("decision = 'accepted'").select("content_id", F.lit(True).alias("mapped")).distinct()
-    j = table(s, d, "incoming_contents").select("incoming_id", "content_hash").join(c, "content_hash", "left").join(m, "content_id", "left")
-    return j.select("incoming_id", F.when(F.col("content_id").isNull(), "new").when(F.col("mapped"), "duplicate").otherwise("reuse").alias("way"))
+    """A stored address not yet mapped to the candidate's type is filtered again, one that is mapped is a duplicate; all others are fetched."""
+    q = table(s, d, "search_queries").select(F.col("id").alias("query_id"), "taxonomy_lv2", "type_name")
+    x = table(s, d, "discarded_candidates").select("id", F.col("normalized_url").alias("url"), "query_id").join(q, "query_id")
+    c = table(s, d, "contents").select(F.col("canonical_url").alias("url"), F.col("id").alias("content_id"))
+    m = table(s, d, "content_taxonomy_mappings").select("content_id", "taxonomy_lv2", "type_name", F.lit(True).alias("mapped"))
+    j = x.join(c, "url", "left").join(m, ["content_id", "taxonomy_lv2", "type_name"], "left")
+    return j.select("id", F.when(F.col("content_id").isNull(), "fetch").when(F.col("mapped"), "duplicate").otherwise("reuse").alias("way"))
+
+
+FAULT_SQL = """CASE WHEN regexp_matches(t, '[0-9]{4}\\s*년|[0-9]{1,2}\\s*월|최근\\s*[0-9]*\\s*(년|개월|달)|올해|작년|재작년|지난\\s*(달|주|해|년)|이번\\s*(년|해|달)') THEN 'date_expression'
+  WHEN regexp_matches(t, 'site\\s*:', 'i') THEN 'site_operator'
+  WHEN len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x NOT IN ('', '그리고', '또는', '및', '혹은'))) > 5 THEN 'too_many_words' WHEN len(t) > CASE provider WHEN 'tavily' THEN 40 ELSE 45 END THEN 'too_long' END"""
 
 
 @query(
-    """SELECT id, CASE WHEN k > 1 THEN 'duplicate_within_batch' WHEN regexp_matches(query_text, '(19|20)[0-9]{2}년?|최근|작년|올해') THEN 'date_expression' WHEN contains(query_text, 'site:') THEN 'site_operator'
-  WHEN provider = 'serpapi' AND len(list_filter(string_split(query_text, ' '), lambda x: x <> '')) > 3 THEN 'too_many_words' WHEN len(query_text) > 30 THEN 'too_long' END AS rejected
-FROM (SELECT *, row_number() OVER (PARTITION BY provider, taxonomy_lv2, type_name, query_text ORDER BY id) AS k FROM search_queries)"""
+    f"""WITH q AS (SELECT id, provider, taxonomy_lv2, type_name, trim(query_text, chr(32) || chr(9) || chr(10)) AS t FROM search_queries),
+f AS (SELECT *, {FAULT_SQL} AS fault, row_number() OVER (PARTITION BY provider, taxonomy_lv2, type_name, t ORDER BY id) AS k FROM q WHERE t <> '')
+SELECT id, coalesce(fault, CASE WHEN k > 1 THEN 'duplicate_within_batch' END) AS rejected FROM f"""
 )
 def query_text_validator(s: SparkSession, d: str) -> DataFrame:
-    t = F.col("query_text")
-    w = Window.partitionBy("provider", "taxonomy_lv2", "type_name", "query_text").orderBy("id")
-    many = (F.col("provider") == "serpapi") & (F.size(F.filter(F.split(t, " "), lambda x: x != "")) > 3)
-    why = F.when(F.col("k") > 1, "duplicate_within_batch").when(t.rlike("(19|20)[0-9]{2}년?|최근|작년|올해"), "date_expression").when(t.contains("site:"), "site_operator").when(many, "too_many_words").when(F.length(t) > 30, "too_long")
-    return table(s, d, "search_queries").withColumn("k", F.row_number().over(w)).select("id", why.alias("rejected"))
+    """Why a query isn't taken. Blank ones are dropped; only a sound text can be repeated, as rejected ones aren't kept."""
+    q = table(s, d, "search_queries").select("id", "provider", "taxonomy_lv2", "type_name", tx.strip(F.col("query_text")).alias("t")).where("t <> ''")
+    fault = ru.query_fault(F.col("t"), F.col("provider"))
+    # an aggregate, not a window: one text may be repeated any number of times
+    keys = ["provider", "taxonomy_lv2", "type_name", "t"]
+    first = q.groupBy(*keys).agg(F.min("id").alias("first"))
+    return q.join(first, keys).select("id", F.coalesce(fault, F.when(F.col("id") > F.col("first"), "duplicate_within_batch")).alias("rejected"))
 
 
-@query("SELECT id, query_text || ' ' || y AS query_text FROM search_queries, (SELECT unnest(range(2024, 2026)) AS y) WHERE status = 'used' AND len(query_text) <= 12")
+@query(
+    """SELECT id, v AS query_text FROM (SELECT id, provider, query_text || ' ' || y || '년' AS v FROM search_queries, (SELECT unnest(range(2024, 2026)) AS y) WHERE status = 'used')
+WHERE len(v) <= CASE provider WHEN 'tavily' THEN 40 ELSE 45 END AND len(list_filter(regexp_split_to_array(v, '\\s+'), lambda x: x <> '')) <= 5"""
+)
 def year_variants(s: SparkSession, d: str) -> DataFrame:
-    q = table(s, d, "search_queries").where("status = 'used' and length(query_text) <= 12")
+    """Used queries with each year of the date range, as far as their provider takes so long a query."""
     years = F.explode(F.sequence(F.lit(DATES[0].year), F.lit(DATES[1].year)))
-    return q.select("id", "query_text", years.alias("y")).select("id", F.concat_ws(" ", "query_text", "y").alias("query_text"))
+    q = table(s, d, "search_queries").where("status = 'used'").select("id", "provider", "query_text", years.alias("y"))
+    q = q.select("id", "provider", F.format_string("%s %d년", "query_text", "y").alias("query_text"))
+    return q.where(ru.fits(F.col("query_text"), F.col("provider"))).select("id", "query_text")
 
 
 @query(
-    """SELECT type_name, list_sort(list_distinct(list_filter(flatten(list(string_split(query_text, ' '))), lambda t: len(t) BETWEEN 1 AND 12 AND NOT regexp_matches(t, '[0-9]|@|https?|www\\.')))) AS terms
+    """SELECT type_name, list_sort(list_distinct(list_filter(flatten(list(string_split(query_text, ' '))), lambda t: len(t) BETWEEN 1 AND 12 AND NOT regexp_matches(t, '[0-9]|@|https?://|www\\.')))) AS terms
 FROM search_queries GROUP BY type_name"""
 )
 def safe_terms(s: SparkSession, d: str) -> DataFrame:
     q = table(s, d, "search_queries").select("type_name", F.explode(F.split("query_text", " ")).alias("t"))
-    q = q.where((F.length("t").between(1, 12)) & ~F.col("t").rlike(r"(?U)\d|@|https?|www\."))
+    q = q.where((F.length("t").between(1, 12)) & ~F.col("t").rlike(r"(?U)\d|@|https?://|www\."))
     return q.groupBy("type_name").agg(F.sort_array(F.collect_set("t")).alias("terms"))
 
 
@@ -313,13 +337,19 @@ SELECT type_name, CAST(i AS INTEGER) AS bundle, list_slice(list_concat(d, d), i
 UNION ALL SELECT type_name, 0, d FROM n WHERE n <= 3"""
 )
 def domain_bundles(s: SparkSession, d: str) -> DataFrame:
-    """Rolling circular windows of three domains of each type; up to three make one bundle."""
+    """Rolling circular windows of three domains of each type; up to three make one bundle.
+
+    Domains are ranked by type; each one's bundle takes it and the next two, the last ones going on with the first.
+    """
     c = table(s, d, "contents").select(F.col("id").alias("content_id"), "source_domain")
-    a = table(s, d, "content_taxonomy_mappings").join(c, "content_id").groupBy("type_name").agg(F.sort_array(F.collect_set("source_domain")).alias("d"))
-    n = F.size("d")
-    starts = F.when(n <= 3, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))
-    b = a.select("type_name", "d", F.explode(starts).alias("bundle"))
-    return b.select("type_name", "bundle", F.when(n <= 3, F.col("d")).otherwise(F.slice(F.concat("d", "d"), F.col("bundle") + 1, 3)).alias("domains"))
+    m = table(s, d, "content_taxonomy_mappings").select("content_id", "type_name").join(c, "content_id").select("type_name", "source_domain").distinct()
+    w = Window.partitionBy("type_name").orderBy("source_domain")
+    r = m.withColumn("at", F.row_number().over(w) - 1).withColumn("b", F.lead("source_domain", 1).over(w)).withColumn("c", F.lead("source_domain", 2).over(w))
+    n = r.groupBy("type_name").agg(F.count("*").alias("n"), F.min_by("source_domain", "at").alias("first"), F.min_by("b", "at").alias("second"))
+    j = r.join(n, "type_name").where("n > 3 or at = 0")
+    b, third = F.coalesce("b", "first"), F.coalesce("c", F.when(F.col("b").isNull(), F.col("second")).otherwise(F.col("first")))
+    few = F.filter(F.array("source_domain", "b", "c"), lambda x: x.isNotNull())
+    return j.select("type_name", F.col("at").cast("int").alias("bundle"), F.when(F.col("n") <= 3, few).otherwise(F.array("source_domain", b, third)).alias("domains"))
 
 
 WORDS_SQL = "list_distinct(list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> ''))"

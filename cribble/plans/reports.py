@@ -6,12 +6,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from cribble.functions import rules
 from cribble.operators import scoring
 from cribble.operators.running import running
 from cribble.sources.tables import table
 
 NOW = datetime(2025, 9, 1)
 NOW_SQL = "TIMESTAMP '2025-09-01 00:00:00'"
+# States of a query in which it is searched for.
+ACTIVE = ("generated", "user_edited", "user_created")
 PRICES = {"prompt": 0.15, "completion": 0.6, "web_call": 10.0}
 Q: dict = {}
 SQL: dict = {}
@@ -81,20 +84,33 @@ def accepted_counts_rollup(s: SparkSession, d: str) -> DataFrame:
     return m.join(_contents(s, d, "status").where("status = 'accepted'"), "content_id").rollup("taxonomy_lv2", "type_name").agg(F.count("*").alias("n"))
 
 
-FAILED = ("access_denied", "not_found", "timeout", "temporary_http_error", "extraction_empty", "extraction_too_short")
+# Reasons that say that a page was fetched and gave no text.
+FAILED = ("extraction_empty", "extraction_too_short")
 
 
 @query(
-    f"""WITH a AS (SELECT source_domain, count(*) AS ok FROM contents WHERE status = 'accepted' GROUP BY 1), b AS (SELECT source_domain, count(*) AS bad FROM discarded_candidates WHERE reason IN {FAILED} AND source_domain IS NOT NULL GROUP BY 1)
+    f"""WITH a AS (SELECT source_domain, count(*) AS ok FROM contents GROUP BY 1), b AS (SELECT source_domain, count(*) AS bad FROM discarded_candidates WHERE reason IN {FAILED} AND source_domain IS NOT NULL GROUP BY 1)
 SELECT source_domain, coalesce(ok, 0) AS ok, coalesce(bad, 0) AS bad, coalesce(ok, 0) / (coalesce(ok, 0) + coalesce(bad, 0)) AS success_rate FROM a FULL JOIN b USING (source_domain)"""
 )
 def domain_success_rate(s: SparkSession, d: str) -> DataFrame:
-    ok = table(s, d, "contents").where("status = 'accepted'").groupBy("source_domain").agg(F.count("*").alias("ok"))
+    """Whatever is stored, accepted or not, was extracted; only pages without a text failed."""
+    ok = table(s, d, "contents").groupBy("source_domain").agg(F.count("*").alias("ok"))
     bad = table(s, d, "discarded_candidates").where(F.col("reason").isin(*FAILED) & F.col("source_domain").isNotNull()).groupBy("source_domain").agg(F.count("*").alias("bad"))
     j = ok.join(bad, "source_domain", "full").fillna(0, ["ok", "bad"])
     return j.withColumn("success_rate", scoring.rate(F.col("ok"), F.col("ok") + F.col("bad")))
 
 
+@query(
+    """SELECT * FROM (SELECT source_domain, success_rate, CAST(row_number() OVER (ORDER BY coalesce(success_rate, 1.0), source_domain) AS INTEGER) AS place FROM ("""
+    + f"""WITH a AS (SELECT source_domain, count(*) AS ok FROM contents GROUP BY 1), b AS (SELECT source_domain, count(*) AS bad FROM discarded_candidates WHERE reason IN {FAILED} AND source_domain IS NOT NULL GROUP BY 1)
+SELECT source_domain, coalesce(ok, 0) / (coalesce(ok, 0) + coalesce(bad, 0)) AS success_rate FROM a FULL JOIN b USING (source_domain))) WHERE place <= 50"""
+)
+def worst_domains(s: SparkSession, d: str) -> DataFrame:
+    """The fifty domains of the least success, an unknown rate counting as 1; the limit is the feature."""
+    top = domain_success_rate(s, d).select("source_domain", "success_rate").orderBy(F.coalesce("success_rate", F.lit(1.0)), "source_domain").limit(50)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.coalesce("success_rate", F.lit(1.0)), "source_domain")))
+
+
 @query("SELECT provider, count(DISTINCT query_id) AS queries, count(*) AS results, count(DISTINCT content_id) AS contents FROM content_discoveries GROUP BY 1")
 def provider_counts(s: SparkSession, d: str) -> DataFrame:
     t = table(s, d, "content_discoveries")
@@ -163,25 +179,30 @@ def _decay_sql(ts: str) -> str:
 
 
 @query(
-    f"""WITH v AS (SELECT d.query_id AS id, {_decay_sql('d.discovered_at')} AS w, CASE WHEN c.status = 'accepted' THEN 1.0 ELSE 0.3 END AS v FROM content_discoveries d JOIN contents c ON c.id = d.content_id
-  UNION ALL SELECT query_id, {_decay_sql('discarded_at')}, 0.0 FROM discarded_candidates WHERE query_id IS NOT NULL),
+    f"""WITH v AS (SELECT d.query_id AS id, {_decay_sql('d.discovered_at')} AS w, CASE WHEN c.status = 'accepted' THEN 1.0 ELSE 0.3 END AS v FROM content_discoveries d JOIN contents c ON c.id = d.content_id),
 s AS (SELECT id, sum(w * v) / sum(w) AS score FROM v GROUP BY 1) SELECT q.id AS query_id, round(coalesce(s.score, 0.5), 9) AS score FROM search_queries q LEFT JOIN s ON s.id = q.id"""
 )
-def query_score(s: SparkSession, d: str) -> DataFrame:
+def query_score(s: SparkSession, d: str, executions: DataFrame | None = None) -> DataFrame:
+    """Faded mean of what a query found: 1 for an accepted record, 0.3 for another.
+
+    executions (query_id, result_count, started_at), where they are recorded, count 1 with results and 0 without. The
+    test tables have none.
+    """
     found = table(s, d, "content_discoveries").select("query_id", "content_id", F.col("discovered_at").alias("ts")).join(_contents(s, d, "status"), "content_id")
-    found = found.select("query_id", "ts", F.when(F.col("status") == "accepted", 1.0).otherwise(0.3).alias("value"))
-    lost = table(s, d, "discarded_candidates").where("query_id is not null").select("query_id", F.col("discarded_at").alias("ts"), F.lit(0.0).alias("value"))
-    scores = scoring.faded_mean(found.unionByName(lost), "query_id", NOW)
+    events = found.select("query_id", "ts", F.when(F.col("status") == "accepted", 1.0).otherwise(0.3).alias("value"))
+    if executions is not None:
+        events = events.unionByName(executions.select("query_id", F.col("started_at").alias("ts"), F.when(F.col("result_count") > 0, 1.0).otherwise(0.0).alias("value")))
+    scores = scoring.faded_mean(events, "query_id", NOW)
     return _queries(s, d).join(scores, "query_id", "left").select("query_id", F.round(F.coalesce("score", F.lit(scoring.NEUTRAL)), 9).alias("score"))
 
 
 def _outcomes(s, d):
-    good = table(s, d, "contents").where("status = 'accepted' and collected_at is not null").select(F.col("source_domain").alias("domain"), F.col("collected_at").alias("ts"), F.lit(True).alias("ok"), F.col("id"))
+    good = table(s, d, "contents").select(F.col("source_domain").alias("domain"), F.col("first_discovered_at").alias("ts"), F.lit(True).alias("ok"), F.col("id"))
     bad = table(s, d, "discarded_candidates").where(F.col("reason").isin(*FAILED) & F.col("source_domain").isNotNull())
     return good.unionByName(bad.select(F.col("source_domain").alias("domain"), F.col("discarded_at").alias("ts"), F.lit(False).alias("ok"), (-F.col("id")).alias("id")))
 
 
-OUTCOMES_SQL = f"""o AS (SELECT source_domain AS domain, collected_at AS ts, true AS ok, id FROM contents WHERE status = 'accepted' AND collected_at IS NOT NULL
+OUTCOMES_SQL = f"""o AS (SELECT source_domain AS domain, first_discovered_at AS ts, true AS ok, id FROM contents
   UNION ALL SELECT source_domain, discarded_at, false, -id FROM discarded_candidates WHERE reason IN {FAILED} AND source_domain IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts DESC, id DESC) AS rn FROM o),
 f AS (SELECT domain, CAST(coalesce(min(CASE WHEN ok THEN rn END) - 1, count(*)) AS INTEGER) AS streak FROM r WHERE rn <= 5 GROUP BY 1)"""
@@ -204,20 +225,19 @@ def domain_score(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT *, count(*) OVER (PARTITION BY normalized_url, reason) AS attempts FROM discarded_candidates),
-l AS (SELECT a.*, q.taxonomy_lv2, q.type_name, row_number() OVER (PARTITION BY a.normalized_url, q.taxonomy_lv2, q.type_name ORDER BY a.discarded_at DESC, a.id DESC) AS k FROM a JOIN search_queries q ON q.id = a.query_id)
-SELECT id, normalized_url, taxonomy_lv2, type_name, reason, attempts FROM l WHERE k = 1 AND retryable AND attempts < CASE reason WHEN 'timeout' THEN 3 WHEN 'temporary_http_error' THEN 3 ELSE 2 END
+    f"""WITH a AS (SELECT *, count(*) OVER (PARTITION BY normalized_url, reason) AS attempts FROM discarded_candidates),
+l AS (SELECT a.*, q.taxonomy_lv2, q.type_name, row_number() OVER (PARTITION BY a.normalized_url, q.taxonomy_lv2, q.type_name ORDER BY a.discarded_at DESC, a.id DESC) AS k FROM a JOIN search_queries q ON q.id = a.query_id WHERE a.retryable)
+SELECT id, normalized_url, taxonomy_lv2, type_name, reason, attempts FROM l WHERE k = 1 AND attempts < CASE {" ".join(f"WHEN reason = '{k}' THEN {n}" for k, (_, n) in rules.RETRY.items())} ELSE 1 END
   AND NOT EXISTS (SELECT 1 FROM contents c WHERE c.canonical_url = l.normalized_url)"""
 )
 def retry_queue(s: SparkSession, d: str) -> DataFrame:
-    """The latest discard of each address and type, if it may be tried again, counted over all discards."""
+    """The latest discard that may be retried of each address and type, if attempts are left, counted over all discards."""
     a = table(s, d, "discarded_candidates").select("id", "normalized_url", "reason", "query_id", "retryable", "discarded_at")
     # counted before any filter; an aggregate, not a window, as one address may have any number of discards
     a = a.join(a.groupBy("normalized_url", "reason").agg(F.count("*").alias("attempts")), ["normalized_url", "reason"])
-    j = a.join(_queries(s, d, "taxonomy_lv2", "type_name"), "query_id")
-    w = Window.partitionBy("normalized_url", "taxonomy_lv2", "type_name").orderBy(F.desc("discarded_at"), F.desc("id"))
-    most = F.when(F.col("reason").isin("timeout", "temporary_http_error"), 3).otherwise(2)
-    last = j.withColumn("k", F.row_number().over(w)).where("k = 1 and retryable").where(F.col("attempts") < most)
+    j = a.where("retryable").join(_queries(s, d, "taxonomy_lv2", "type_name"), "query_id")
+    last = j.groupBy("normalized_url", "taxonomy_lv2", "type_name").agg(F.max_by(F.struct("id", "reason", "attempts"), F.struct("discarded_at", "id")).alias("x"))
+    last = last.select("x.*", "normalized_url", "taxonomy_lv2", "type_name").where(F.col("attempts") < rules.most_attempts(F.col("reason")))
     stored = table(s, d, "contents").select(F.col("canonical_url").alias("normalized_url"))
     return last.join(stored, "normalized_url", "left_anti").select("id", "normalized_url", "taxonomy_lv2", "type_name", "reason", "attempts")
 
@@ -238,24 +258,26 @@ def latest_score_by_url(s: SparkSession, d: str) -> DataFrame:
     return last.join(_contents(s, d, F.col("canonical_url").alias("url")), "content_id").select("url", "x.overall")
 
 
-@query("SELECT lv2, arg_max(run_id, (started_at, id)) AS run_id FROM (SELECT *, split_part(settings_snapshot::JSON->'targets'->>0, '::', 1) AS lv2 FROM collection_runs) WHERE lv2 IS NOT NULL GROUP BY 1")
+@query("SELECT lv2, arg_max(run_id, (started_at, id)) AS run_id FROM (SELECT *, split_part(unnest(CAST(settings_snapshot::JSON->'targets' AS VARCHAR[])), '::', 1) AS lv2 FROM collection_runs) WHERE lv2 IS NOT NULL GROUP BY 1")
 def latest_run(s: SparkSession, d: str) -> DataFrame:
-    r = table(s, d, "collection_runs").withColumn("lv2", F.split_part(F.from_json("settings_snapshot", "target_count int, targets array<string>")["targets"][0], F.lit("::"), F.lit(1)))
+    r = table(s, d, "collection_runs").withColumn("target", F.explode(F.from_json("settings_snapshot", "targets array<string>")["targets"]))
+    r = r.withColumn("lv2", F.split_part("target", F.lit("::"), F.lit(1)))
     return r.where("lv2 is not null").groupBy("lv2").agg(F.max_by("run_id", F.struct("started_at", "id")).alias("run_id"))
 
 
 @query(
     """WITH x AS (SELECT id, run_id, reason, row_number() OVER (PARTITION BY run_id ORDER BY id) AS i, row_number() OVER (PARTITION BY run_id, reason = 'unexpected_error' ORDER BY id) AS j FROM discarded_candidates WHERE run_id IS NOT NULL),
 g AS (SELECT *, CASE WHEN reason = 'unexpected_error' THEN row_number() OVER (PARTITION BY run_id, i - j ORDER BY id) END AS streak FROM x WHERE reason = 'unexpected_error'),
-b AS (SELECT run_id, min(id) AS broke FROM g WHERE streak = 2 GROUP BY 1)
+b AS (SELECT run_id, min(id) AS broke FROM g WHERE streak = 5 GROUP BY 1)
 SELECT x.id, x.run_id FROM x LEFT JOIN b USING (run_id) WHERE b.broke IS NULL OR x.id <= b.broke"""
 )
 def circuit_breaker(s: SparkSession, d: str) -> DataFrame:
-    """Discards of a run up to its second unexpected error in a row."""
+    """Discards of a run up to its fifth unexpected error in a row."""
     t = table(s, d, "discarded_candidates").where("run_id is not null").select("id", "run_id", (F.col("reason") == "unexpected_error").alias("bad"))
-    t = t.withColumn("i", F.row_number().over(Window.partitionBy("run_id").orderBy("id"))).withColumn("j", F.row_number().over(Window.partitionBy("run_id", "bad").orderBy("id")))
-    streak = F.row_number().over(Window.partitionBy("run_id", F.col("i") - F.col("j")).orderBy("id"))
-    broke = t.where("bad").withColumn("streak", streak).where("streak = 2").groupBy("run_id").agg(F.min("id").alias("broke"))
+    # errors since the last other outcome: running sums over ranges of ids, so that no run is gathered in one task
+    t = running(t.withColumn("good", (~F.col("bad")).cast("long")), ["run_id"], F.col("id"), F.shiftright("id", 12), "good", "goods")
+    bad = running(t.where("bad").withColumn("one", F.lit(1)), ["run_id", "goods"], F.col("id"), F.shiftright("id", 12), "one", "before")
+    broke = bad.where("before = 4").groupBy("run_id").agg(F.min("id").alias("broke"))
     return t.join(broke, "run_id", "left").where("broke is null or id <= broke").select("id", "run_id")
 
 
@@ -273,10 +295,11 @@ def target_cutoff(s: SparkSession, d: str) -> DataFrame:
     return x.select("id", "lv2", "chunk").join(c.select("lv2", "chunk", "sofar"), ["lv2", "chunk"]).select("id", "lv2", "chunk", (F.col("sofar") >= 30).alias("skipped"))
 
 
-@query("SELECT reason, count(*) AS n FROM (SELECT reason FROM discarded_candidates UNION ALL SELECT split_part(decision_reason, ':', 1) FROM content_taxonomy_mappings WHERE decision = 'excluded') GROUP BY 1")
+@query("SELECT reason, count(*) AS n, count(*) / sum(count(*)) OVER () AS rate FROM (SELECT reason FROM discarded_candidates UNION ALL SELECT split_part(decision_reason, ':', 1) FROM content_taxonomy_mappings WHERE decision = 'excluded') GROUP BY 1")
 def reason_histogram(s: SparkSession, d: str) -> DataFrame:
     m = table(s, d, "content_taxonomy_mappings").where("decision = 'excluded'").select(F.split_part("decision_reason", F.lit(":"), F.lit(1)).alias("reason"))
-    return table(s, d, "discarded_candidates").select("reason").unionByName(m).groupBy("reason").agg(F.count("*").alias("n"))
+    n = table(s, d, "discarded_candidates").select("reason").unionByName(m).groupBy("reason").agg(F.count("*").alias("n"))
+    return n.withColumn("rate", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
 
 
 @query("WITH p AS (SELECT provider, count(*) AS n FROM (SELECT provider FROM content_discoveries UNION ALL SELECT q.provider FROM discarded_candidates x JOIN search_queries q ON q.id = x.query_id) GROUP BY 1) SELECT provider, n, n / sum(n) OVER () AS share FROM p")
@@ -293,12 +316,17 @@ def top_domain_share(s: SparkSession, d: str) -> DataFrame:
     return n.groupBy("lv2").agg(F.count("*").alias("domains"), (F.max("n") / F.sum("n")).alias("top_share"))
 
 
-@query("SELECT taxonomy_lv2 AS lv2, type_name AS type, count(*) AS samples, avg(CAST(starts_with(coalesce(decision_reason, ''), 'date_out_of_range') AS INT)) AS rate, count(*) >= 20 AND rate >= 0.05 AS inject FROM content_taxonomy_mappings GROUP BY ALL")
+@query(
+    """SELECT q.taxonomy_lv2 AS lv2, q.type_name AS type, q.provider, count(*) AS samples, avg(CAST(starts_with(coalesce(m.decision_reason, ''), 'date_out_of_range') AS INT)) AS rate, count(*) >= 20 AND rate >= 0.30 AS inject
+FROM content_discoveries d JOIN search_queries q ON q.id = d.query_id JOIN content_taxonomy_mappings m ON m.content_id = d.content_id AND m.taxonomy_lv2 = q.taxonomy_lv2 AND m.type_name = q.type_name GROUP BY ALL"""
+)
 def date_out_rate(s: SparkSession, d: str) -> DataFrame:
-    """Share of records out of the date range, and whether years go into queries."""
-    hit = F.startswith(F.coalesce("decision_reason", F.lit("")), F.lit("date_out_of_range")).cast("int")
-    g = table(s, d, "content_taxonomy_mappings").groupBy(F.col("taxonomy_lv2").alias("lv2"), F.col("type_name").alias("type")).agg(F.count("*").alias("samples"), F.avg(hit).alias("rate"))
-    return g.withColumn("inject", (F.col("samples") >= 20) & (F.col("rate") >= 0.05))
+    """By provider, the share of what was found outside the date range, and whether years go into queries."""
+    m = table(s, d, "content_taxonomy_mappings").select("content_id", F.col("taxonomy_lv2").alias("lv2"), F.col("type_name").alias("type"), F.startswith(F.coalesce("decision_reason", F.lit("")), F.lit("date_out_of_range")).cast("int").alias("hit"))
+    q = _queries(s, d, F.col("taxonomy_lv2").alias("lv2"), F.col("type_name").alias("type"), "provider")
+    j = table(s, d, "content_discoveries").select("query_id", "content_id").join(q, "query_id").join(m, ["content_id", "lv2", "type"])
+    g = j.groupBy("lv2", "type", "provider").agg(F.count("*").alias("samples"), F.avg("hit").alias("rate"))
+    return g.withColumn("inject", (F.col("samples") >= 20) & (F.col("rate") >= 0.30))
 
 
 @query("SELECT taxonomy_lv2 AS lv2, count(*) AS scored, avg(overall) AS mean, count(*) FILTER (overall >= 4) / count(*) AS high, count(*) FILTER (overall < 2.5) AS low, sum(prompt_tokens)::BIGINT AS prompt_tokens FROM content_quality_scores WHERE overall BETWEEN 1 AND 5 AND NOT isnan(overall) GROUP BY 1")
@@ -313,11 +341,11 @@ def quality_issues(s: SparkSession, d: str) -> DataFrame:
     return t.where("issue is not null").groupBy("issue").agg(F.count("*").alias("n"))
 
 
-@query("SELECT m.taxonomy_lv2 AS lv2, count(*) AS labels, avg((m.decision = 'accepted')::INT) AS p FROM content_taxonomy_mappings m JOIN (SELECT DISTINCT content_id FROM content_quality_scores WHERE overall >= 4 AND NOT isnan(overall)) s USING (content_id) GROUP BY 1")
+@query("SELECT m.taxonomy_lv2 AS lv2, count(*) AS labels, avg((m.decision = 'accepted')::INT) AS p, printf('%.4f (%d건)', avg((m.decision = 'accepted')::INT), count(*)) AS text FROM content_taxonomy_mappings m JOIN (SELECT DISTINCT content_id FROM content_quality_scores WHERE overall >= 4 AND NOT isnan(overall)) s USING (content_id) GROUP BY 1")
 def label_precision(s: SparkSession, d: str) -> DataFrame:
     good = table(s, d, "content_quality_scores").where((F.col("overall") >= 4) & ~F.isnan("overall")).select("content_id").distinct()
     m = table(s, d, "content_taxonomy_mappings").join(good, "content_id", "left_semi")
-    return m.groupBy(F.col("taxonomy_lv2").alias("lv2")).agg(F.count("*").alias("labels"), F.avg((F.col("decision") == "accepted").cast("int")).alias("p"))
+    return m.groupBy(F.col("taxonomy_lv2").alias("lv2")).agg(F.count("*").alias("labels"), F.avg((F.col("decision") == "accepted").cast("int")).alias("p")).withColumn("text", F.format_string("%.4f (%d건)", "p", "labels"))
 
 
 COST_SQL = f"sum(prompt_tokens) * {PRICES['prompt']} / 1e6 + sum(completion_tokens) * {PRICES['completion']} / 1e6 + count(*) * {PRICES['web_call']} / 1e3"
@@ -364,15 +392,25 @@ def run_report(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH n AS (SELECT taxonomy_lv2 AS lv2, provider, count(*) AS queries FROM search_queries WHERE status IN ('generated', 'user_edited', 'user_created', 'unused', 'used') GROUP BY ALL)
-SELECT coalesce(lv2, '(all)') AS lv2, provider, sum(least(queries * 3, CASE provider WHEN 'serpapi' THEN 20 ELSE 1000 END))::BIGINT AS worst FROM n GROUP BY GROUPING SETS ((lv2, provider), (provider))"""
+    """WITH t AS (SELECT DISTINCT taxonomy_lv2 AS lv2, type_name AS type FROM search_queries), c AS (SELECT lv2, count(*) AS types FROM t GROUP BY 1),
+p AS (SELECT lv2, types * ceil(ceil(50 / types) * 2.0) AS candidates, provider, page, pages FROM c, (VALUES ('tavily', 20, 1), ('serpapi', 10, 10)) v(provider, page, pages)),
+n AS (SELECT taxonomy_lv2 AS lv2, provider, count(*) AS queries FROM search_queries WHERE status IN ('generated', 'user_edited', 'user_created') GROUP BY ALL),
+w AS (SELECT lv2, provider, least(coalesce(queries, 0) * pages, greatest(ceil(candidates / page), 1) * 2.0) AS w FROM p LEFT JOIN n USING (lv2, provider))
+SELECT coalesce(lv2, '(all)') AS lv2, provider, CAST(sum(w) AS DOUBLE) AS worst FROM w GROUP BY GROUPING SETS ((lv2, provider), (provider))"""
 )
-def preflight_budget(s: SparkSession, d: str) -> DataFrame:
-    """Worst-case requests of each group and provider under its budget, and by provider."""
-    q = table(s, d, "search_queries").where(F.col("status").isin("generated", "user_edited", "user_created", "unused", "used"))
-    n = q.groupBy(F.col("taxonomy_lv2").alias("lv2"), "provider").agg(F.count("*").alias("queries"))
-    n = n.withColumn("w", F.least(F.col("queries") * 3, F.when(F.col("provider") == "serpapi", 20).otherwise(1000)))
-    g = n.groupingSets([["lv2", "provider"], ["provider"]], "lv2", "provider").agg(F.sum("w").alias("worst"))
+def preflight_budget(s: SparkSession, d: str, target: int = 50, multiplier: float = 2.0) -> DataFrame:
+    """Worst-case requests of each group and provider, and by provider.
+
+    A group's target is shared by its types, rounded up; times the multiplier it is the number of candidates, which
+    ask for so many pages; twice as many calls are the budget. All queries with all their pages are the other bound.
+    """
+    t = table(s, d, "search_queries").select(F.col("taxonomy_lv2").alias("lv2"), "type_name").distinct().groupBy("lv2").agg(F.count("*").alias("types"))
+    # Provider, results of a page, pages of a query.
+    limits = s.createDataFrame([("tavily", 20, 1), ("serpapi", 10, 10)], "provider string, page int, pages int")
+    p = t.join(F.broadcast(limits)).withColumn("candidates", F.col("types") * F.ceil(F.ceil(F.lit(target) / F.col("types")) * F.lit(multiplier)))
+    n = table(s, d, "search_queries").where(F.col("status").isin(*ACTIVE)).groupBy(F.col("taxonomy_lv2").alias("lv2"), "provider").agg(F.count("*").alias("queries"))
+    w = F.least(F.coalesce("queries", F.lit(0)) * F.col("pages"), F.greatest(F.ceil(F.col("candidates") / F.col("page")), F.lit(1)) * F.lit(2.0))
+    g = p.join(n, ["lv2", "provider"], "left").withColumn("w", w).groupingSets([["lv2", "provider"], ["provider"]], "lv2", "provider").agg(F.sum("w").alias("worst"))
     return g.select(F.coalesce("lv2", F.lit("(all)")).alias("lv2"), "provider", "worst")
 
 
@@ -405,9 +443,9 @@ def kst_display(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "content_discoveries").select("id", F.date_format(F.from_utc_timestamp(F.col("discovered_at").cast("timestamp"), "Asia/Seoul"), "yyyy-MM-dd HH:mm:ss").alias("kst"))
 
 
-@query("SELECT taxonomy_lv2, provider, count(*) FILTER (status IN ('generated', 'user_edited', 'user_created', 'unused', 'used')) AS active FROM search_queries GROUP BY ALL")
+@query("SELECT taxonomy_lv2, provider, count(*) FILTER (status IN ('generated', 'user_edited', 'user_created')) AS active FROM search_queries GROUP BY ALL")
 def active_query_counts(s: SparkSession, d: str) -> DataFrame:
-    ok = F.col("status").isin("generated", "user_edited", "user_created", "unused", "used")
+    ok = F.col("status").isin(*ACTIVE)
     return table(s, d, "search_queries").groupBy("taxonomy_lv2", "provider").agg(F.count_if(ok).alias("active"))
 
 
@@ -423,9 +461,12 @@ def recent_runs(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "collection_runs").orderBy(F.desc("started_at"), F.desc("id")).limit(50).select("run_id", "started_at")
 
 
-@query()
+@query(
+    """SELECT taxonomy_lv2, type_name, content_id FROM (SELECT *, row_number() OVER (PARTITION BY taxonomy_lv2 ORDER BY md5('42/' || content_id || '/' || type_name), content_id, type_name) AS k
+FROM content_taxonomy_mappings WHERE decision = 'accepted') WHERE k <= 30"""
+)
 def sample_per_group(s: SparkSession, d: str) -> DataFrame:
     """Thirty accepted records of each group in a fixed random order; the limit is the feature."""
     m = table(s, d, "content_taxonomy_mappings").where("decision = 'accepted'").select("taxonomy_lv2", "type_name", "content_id")
-    w = Window.partitionBy("taxonomy_lv2").orderBy(F.xxhash64("content_id", "type_name", F.lit(42)), "content_id", "type_name")
+    w = Window.partitionBy("taxonomy_lv2").orderBy(F.md5(F.concat_ws("/", F.lit("42"), "content_id", "type_name").cast("binary")), "content_id", "type_name")
     return m.withColumn("k", F.row_number().over(w)).where("k <= 30").drop("k")

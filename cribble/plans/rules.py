@@ -53,11 +53,11 @@ def top_three(s: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH s AS ({reports.SQL['query_score']}) SELECT q.id AS query_id, CAST(row_number() OVER (PARTITION BY taxonomy_lv2, type_name, provider ORDER BY round(score, 6) DESC, q.id) AS INTEGER) AS place
-FROM search_queries q JOIN s ON s.query_id = q.id WHERE status IN ('generated', 'user_edited', 'user_created', 'unused', 'used')"""
+FROM search_queries q JOIN s ON s.query_id = q.id WHERE status IN ('generated', 'user_edited', 'user_created')"""
 )
 def query_order(s: SparkSession, d: str) -> DataFrame:
     """Queries of a lane by score; equal to six places, they keep their order."""
-    active = table(s, d, "search_queries").where(F.col("status").isin("generated", "user_edited", "user_created", "unused", "used")).select(F.col("id").alias("query_id"), "taxonomy_lv2", "type_name", "provider")
+    active = table(s, d, "search_queries").where(F.col("status").isin(*reports.ACTIVE)).select(F.col("id").alias("query_id"), "taxonomy_lv2", "type_name", "provider")
     w = Window.partitionBy("taxonomy_lv2", "type_name", "provider").orderBy(F.round("score", 6).desc(), "query_id")
     return active.join(reports.query_score(s, d), "query_id").select("query_id", F.row_number().over(w).alias("place"))
 
@@ -81,13 +81,14 @@ def sibling_types(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "SELECT id, reason, CASE WHEN reason IN ('timeout', 'temporary_http_error', 'unexpected_error') THEN 'immediate' WHEN reason IN ('extraction_empty', 'extraction_too_short') THEN 'after_parser_update' ELSE 'never' END AS mode, "
-    "CASE WHEN reason IN ('timeout', 'temporary_http_error') THEN 2 WHEN reason IN ('unexpected_error', 'extraction_empty', 'extraction_too_short') THEN 1 ELSE 0 END AS attempts FROM discarded_candidates"
+    "SELECT id, reason, CASE WHEN reason IN ('timeout', 'temporary_http_error', 'extraction_too_short', 'unexpected_error') THEN 'immediate' WHEN reason = 'extraction_empty' THEN 'after_parser_update' ELSE 'never' END AS mode, "
+    "CASE WHEN reason IN ('timeout', 'temporary_http_error') THEN 3 WHEN reason IN ('unexpected_error', 'extraction_too_short') THEN 2 ELSE 1 END AS attempts, "
+    "coalesce(reason IN ('timeout', 'temporary_http_error', 'extraction_too_short', 'unexpected_error'), false) AS again FROM discarded_candidates"
 )
 def retry_policy(s: SparkSession, d: str) -> DataFrame:
-    policy = s.createDataFrame([(k, *v) for k, v in ru.RETRY.items()], "reason string, mode string, attempts int")
+    policy = s.createDataFrame([(k, mode) for k, (mode, _) in ru.RETRY.items()], "reason string, mode string")
     j = table(s, d, "discarded_candidates").select("id", "reason").join(F.broadcast(policy), "reason", "left")
-    return j.select("id", "reason", F.coalesce("mode", F.lit("never")).alias("mode"), F.coalesce("attempts", F.lit(0)).alias("attempts"))
+    return j.select("id", "reason", F.coalesce("mode", F.lit("never")).alias("mode"), ru.most_attempts(F.col("reason")).alias("attempts"), ru.is_retryable(F.col("reason")).alias("again"))
 
 
 @query(
