@@ -89,20 +89,60 @@ def test_settings(tmp_path):
 LONG = "본문이 이어지는 문장이다. " * 20
 
 
-def test_extraction(spark):
-    page = f"<html><head><title>제목 | 매체</title><meta property='og:title' content='덧제목'></head><body><nav>메뉴</nav><article><p>{LONG}</p><script>x()</script></article></body></html>"
-    t, c, d, why = html.extract(page, "https://x.kr/1", "x.kr", "news")
-    assert t == "덧제목" and "메뉴" not in c and "x()" not in c and why is None
+def article(body, head=""):
+    return f"<html><head><title>꼬리 제목 - 보배드림 : 게시판</title>{head}</head><body><nav>메뉴</nav>{body}<footer>바닥</footer></body></html>"
+
+
+LONG = "본문의 문장이 이어진다. " * 20
+
+
+def test_general_extraction():
+    page = article(f"<article><h1>제목</h1><script>x()</script><p>{LONG}</p><img src=a></article>", "<meta property='article:published_time' content='2025-03-01T00:00:00'>")
+    title, text, told, why = html.extract(page, "https://x.kr/1", "x.kr", "news")
+    assert (title, told[:10], why) == ("제목", "2025-03-01", None) and "메뉴" not in text and "x()" not in text and text.startswith("제목\n본문")
     assert html.extract("", "u", "d")[3] == "extraction_empty" and html.extract("<article>짧다</article><title>t</title>", "u", "d")[3] == "extraction_too_short"
-    gall = f"<span class='title_subject'>글 제목</span><span class='gall_date'>2026.08.27 10:00</span><div class='write_div'>{LONG}</div><div>다른 글 목록</div>"
-    assert html.extract(gall, "https://gall.dcinside.com/b/1", "gall.dcinside.com", "community")[::2] == ("글 제목", "2026-08-27")
-    short = gall.replace(LONG, "짧은 글")
-    assert html.extract(short, "u", "gall.dcinside.com", "community")[3] == "extraction_too_short"
-    assert html.kind("m.ruliweb.com") == "community" and html.kind("x.kr") is None
-    assert html.json_texts({"question": {"content": "a <b>b</b>"}, "list": [{"content": "c"}, {"content": "c"}]}, ("content",)) == ["a b", "c"]
-    df = spark.createDataFrame([(page, "https://x.kr/1", "x.kr", "news"), (None, None, None, None)], "h string, u string, d string, c string")
-    rows = df.select(html.extract_article("h", "u", "d", "c").alias("x"), html.title_tag(F.col("h")).alias("t")).collect()
-    assert rows[0].x.reason is None and rows[0].t == "제목 | 매체" and rows[1].x.reason == "extraction_empty"
+    assert html.extract(article(f"<p>{LONG}</p>", "<meta property='og:title' content=' 밖 제목 '>"), "u", "m.bobaedream.co.kr")[0] == "꼬리 제목"
+
+
+def test_rules_of_sites():
+    body = f"<div class='write_div'>{LONG}</div>"
+    gall = lambda title, more="": html.extract(article(f"{title}{body}<span class='gall_date' title='2026-08-27 10:00:00'>08.27</span>", more), "u", "gall.dcinside.com", "community")
+    assert gall("<span class='title_subject'>글 제목</span>")[::2] == ("글 제목", "2026-08-27 10:00:00")
+    # an empty element of the title wins; without one, meta and then the title element
+    assert gall("<span class='title_subject'> </span>", "<meta property='og:title' content='밖'>")[3] == "extraction_too_short"
+    assert gall("", "<meta property='og:title' content='밖'>")[0] == "밖" and gall("")[0].startswith("꼬리 제목")
+    item = article(f"<span class='subject_inner_text'>t</span><section itemprop='articleBody'>{LONG}</section><span class='regdate'>2025.01.02 (목)</span>")
+    assert html.extract(item, "u", "bbs.ruliweb.com")[0::2] == ("t", "2025.01.02 (목)")
+    # a short body of the rule isn't replaced by the general way, a missing one is
+    assert html.extract(article(f"<span class='title_subject'>t</span><div class='write_div'>짧다</div><article>{LONG}</article>"), "u", "gall.dcinside.com", "community")[3] == "extraction_too_short"
+    assert html.extract(article(f"<span class='title_subject'>t</span><article>{LONG}</article>"), "u", "gall.dcinside.com", "community")[3] is None
+    insta = article(f"<article>{LONG}</article>", "<meta property='og:title' content='밖'>")
+    assert html.extract(insta, "https://www.instiz.net/pt/123", "www.instiz.net", "community")[0] == "밖"
+
+
+def test_questions_and_answers():
+    qa = article(f"<div class='endTitleSection'><b>질문</b> 제목</div><div class='questionDetail'>물음 {LONG}</div><div class='answerDetail'>답 하나</div><div class='answerDetail'>답 둘</div><span class='infoItem'>조회 1</span><span class='infoItem'>작성일 2025.05.06</span>")
+    url = "https://kin.naver.com/qna/detail.naver?d1id=1&docId=2"
+    title, text, told, why = html.extract(qa, url, "kin.naver.com", "qna")
+    assert (title, told, why) == ("질문 제목", "작성일 2025.05.06", None) and text.endswith("\n\n답 하나\n\n답 둘")
+    node = {"questionContent": "첫 물음의 본문은 이렇게 시작한다 https://a.b/c", "x": [{"answer_body": "하나뿐인 대답의 본문은 이렇다고 한다"}, {"answer_body": "사진"}, {"replyText": "둘째 대답의 본문은 또 다르다고 한다"}, {"answerTitle": "본문이 아닌 것은 여기에 들지 않는다"}]}
+    page = article(f"<script id='__NEXT_DATA__' type='application/json'>{json.dumps(node)}</script>")
+    title, text, _, _ = html.extract(page, url, "kin.naver.com", "qna")
+    assert title == "첫 물음의 본문은 이렇게 시작한다" and text.count("본문은") == 3
+    # a list page is no article for the rule
+    assert html.extract(qa, "https://kin.naver.com/qna/list.naver", "kin.naver.com", "qna")[0] != "질문 제목"
+
+
+def test_extraction_columns(spark):
+    html.register("own.example", lambda h, u: ("제목", LONG, "2025.07.08"))
+    df = spark.createDataFrame([(article(f"<article>{LONG}</article>"), "u", "x.kr", "news"), (None, "u", "x.kr", None), ("<p>", "u", "own.example", None)], "h string, u string, d string, c string")
+    got = df.select(html.extract_article(F.col("h"), F.col("u"), F.col("d"), F.col("c")).alias("x"), html.title_tag(F.col("h")).alias("t"), html.kind(F.lit("m.ruliweb.com")).alias("k"), html.kind(F.lit("x.kr")).alias("n"), html.least_length(F.col("c")).alias("l")).collect()
+    assert (got[0].x.reason, got[0].t, got[0].k, got[0].n, got[0].l) == (None, "꼬리 제목 - 보배드림 : 게시판", "community", None, 200)
+    assert got[1].x.reason == "extraction_empty" and got[2].x.published_date == "2025-07-08" and got[1].l == 100
+    noisy = spark.createDataFrame([("a<script>x</script >b<IMG src=x>c<style>\n</style>d",)], "h string")
+    assert noisy.select(html.without_noise(F.col("h"))).first()[0] == "abcd"
+    raw = spark.createDataFrame([(bytearray("한글".encode("cp949")), None), (bytearray("한글".encode()), "text/html"), (bytearray("<meta charset=euc-kr>한글".encode("cp949")), ""), (None, None)], "b binary, h string")
+    assert [r[0] for r in raw.select(html.decoded("b", "h")).collect()] == ["한글", "한글", "<meta charset=euc-kr>한글", None]
 
 
 def test_near_duplicate_verdicts(spark):
