@@ -30,14 +30,32 @@ def first_reason(*checks: tuple[str, Column]) -> Column:
     return F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(code)) for code, ok in checks])
 
 
-def cascade(lo: date, hi: date, blocked: list[str], least: float = 0.3) -> Column:
-    return first_reason(
+def executed(*checks: tuple[str, Column]) -> Column:
+    """Map of the code of each check that ran to pass or fail; checks after the first failing one don't run."""
+    told = [F.when(F.coalesce(ok, F.lit(False)), F.lit("pass")).otherwise(F.lit("fail")) for _, ok in checks]
+    ran, entries = F.lit(True), []
+    for (code, _), t in zip(checks, told):
+        entries.append(F.when(ran, F.struct(F.lit(code).alias("key"), t.alias("value"))))
+        ran = ran & (t == "pass")
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+
+
+def _checks(lo: date, hi: date, blocked: list[str], least: float) -> tuple:
+    return (
         ("blacklisted_domain", ~is_blocked(F.col("source_domain"), blocked)),
         ("date_out_of_range", in_dates(F.col("published_date"), lo, hi)),
         ("low_korea_relevance", enough_script(F.col("title"), F.col("content"), least)),
     )
 
 
+def outcomes(lo: date, hi: date, blocked: list[str], least: float = 0.3) -> Column:
+    return executed(*_checks(lo, hi, blocked, least))
+
+
+def cascade(lo: date, hi: date, blocked: list[str], least: float = 0.3) -> Column:
+    return first_reason(*_checks(lo, hi, blocked, least))
+
+
 def fetch_reason(status: Column, error: Column) -> tuple[Column, Column]:
     """(reason, retryable) of a fetch: status code, and error 'timeout' or 'connection'. Both null where it went well."""
     again = (status >= 500) | (status == 429)

@@ -48,3 +48,22 @@ def matching(df: DataFrame, **equal) -> DataFrame:
         if value is not None:
             df = df.where(F.col(name) == value)
     return df
+
+
+def get_or_create(old: DataFrame, new: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """(asked, id, already) for each new row: the id of the stored row with its keys, else that of the first new row with them.
+
+    already tells whether the row was stored, or asked for before in the same batch.
+    """
+    stored = old.groupBy(*keys).agg(F.min(key).alias("_stored"))
+    first = new.groupBy(*keys).agg(F.min(key).alias("_first"))
+    j = new.join(first, keys).join(stored, keys, "left")
+    return j.select(F.col(key).alias("asked"), F.coalesce("_stored", "_first").alias("id"), (F.col("_stored").isNotNull() | (F.col(key) > F.col("_first"))).alias("already"))
+
+
+def update_rows(df: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the columns that changes has besides the keys taken from it, in the rows whose keys it has; other rows stay."""
+    cols = [c for c in changes.columns if c not in keys]
+    c = changes.select(*keys, *[F.col(x).alias(f"_{x}") for x in cols], F.lit(True).alias("_hit"))
+    j = df.join(c, keys, "left")
+    return j.select(*[F.when(F.col("_hit"), F.col(f"_{x}")).otherwise(F.col(x)).alias(x) if x in cols else F.col(x) for x in df.columns])

@@ -62,18 +62,6 @@ def query_order(s: SparkSession, d: str) -> DataFrame:
     return active.join(reports.query_score(s, d), "query_id").select("query_id", F.row_number().over(w).alias("place"))
 
 
-@query()
-def bundle_pick(s: SparkSession, d: str) -> DataFrame:
-    """The bundle of each type with the best mean domain score, unknown domains at one half; the first wins ties."""
-    from cribble.plans import reference
-
-    b = reference.domain_bundles(s, d).select("type_name", "bundle", F.explode("domains").alias("domain"))
-    j = b.join(reports.domain_score(s, d), "domain", "left")
-    m = j.groupBy("type_name", "bundle").agg(F.round(F.avg(F.coalesce("score", F.lit(0.5))), 6).alias("score"))
-    w = Window.partitionBy("type_name").orderBy(F.desc("score"), "bundle")
-    return m.withColumn("k", F.row_number().over(w)).where("k = 1").drop("k")
-
-
 @query("SELECT DISTINCT a.taxonomy_lv2, a.type_name, b.type_name AS sibling FROM search_queries a JOIN search_queries b ON a.taxonomy_lv2 = b.taxonomy_lv2 AND a.type_name <> b.type_name")
 def sibling_types(s: SparkSession, d: str) -> DataFrame:
     t = table(s, d, "search_queries").select("taxonomy_lv2", "type_name").distinct()
