@@ -103,6 +103,11 @@ class WordIndex:
         m = self.members.where(F.col("title") != "").select("rep", F.xxhash64("title").alias("tid"), "title")
         return m.distinct()
 
+    @cached_property
+    def nodes_by_rep(self) -> DataFrame:
+        """nodes, for joins by class; an index that is stored by class reads them without a shuffle."""
+        return self.nodes
+
     @cached_property
     def titles(self) -> DataFrame:
         """tid, title, m (classes under it)."""
@@ -182,8 +187,8 @@ def titled_nodes(pairs: DataFrame, p: WordIndex, q: WordIndex | None = None, alo
     """a, xa, b, xb: classes with a title each, of pairs below alone whose titles are close enough."""
     q = q or p
     low = pairs.where(F.col("jaccard") < alone).select("a", "b", "jaccard")
-    na = p.nodes.select(F.col("rep").alias("a"), F.col("title").alias("xa"))
-    nb = q.nodes.select(F.col("rep").alias("b"), F.col("title").alias("xb"))
+    na = p.nodes_by_rep.select(F.col("rep").alias("a"), F.col("title").alias("xa"))
+    nb = q.nodes_by_rep.select(F.col("rep").alias("b"), F.col("title").alias("xb"))
     return low.join(na, "a").join(nb, "b").where(cosine("xa", "xb") >= TITLE_COSINE)
 
 
