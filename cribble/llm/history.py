@@ -1,14 +1,18 @@
 """Checking new batches against all history and against one another.
 
-The accepted records are indexed once, by address, by digest and by the segments of their sketches (``similar.py``);
-a batch only probes the index, and what it adds is appended (``HistoryIndex`` keeps the index between batches). Order matters: a record counts as accepted history for
-the records after it only if it repeated nothing before it. That is resolved set-wise: every record lists the keys
-it owns and the keys that it must not find taken (the same, and those of similar classes); in each round, records
-that find an earlier accepted owner are rejected and records with no earlier undecided rival are accepted.
+The accepted records are kept as an index: tables by address, by digest and by the segments of their sketches
+(``similar.py``), each stored in buckets of its key. A batch's own keys are brought to the buckets; the history is
+joined where it lies and never shuffled, and none of its texts is read again. What the batch adds is appended.
+
+Order matters: a record counts as accepted history for the records after it only if it repeated nothing before it. That
+is resolved set-wise: every record lists the keys it owns and the keys that it must not find taken (the same, and those
+of similar classes); in each round, records that find an earlier accepted owner are rejected and records with no earlier
+undecided rival are accepted.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,11 +32,13 @@ def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     are normalised. Nulls in url and digest match nothing; a null content is empty. Records are taken by batch_no (nulls first), then
     id; ids are unique over both.
     """
-    return check(WordIndex(history), history.select("id", "url", "digest"), incoming)
+    index = HistoryIndex(history.sparkSession)
+    index.append(history, 0)
+    return index.find(incoming)
 
 
-def check(hist: WordIndex, history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """What repeats returns, with the history as an index and a table of its keys (id, url, digest)."""
+def check(hist: WordIndex, urls: DataFrame, digests: DataFrame, incoming: DataFrame) -> DataFrame:
+    """What repeats returns, with the history as an index and tables of its keys: urls (url, id), digests (digest, id)."""
     new = WordIndex(incoming)
     recs = cut(incoming.select("id", F.struct("batch_no", "id").alias("ord"), "url", "digest"))
 
@@ -40,10 +46,11 @@ def check(hist: WordIndex, history: DataFrame, incoming: DataFrame) -> DataFrame
     m, hm = new.members, hist.members
     old_titles = hm.groupBy(F.col("rep").alias("b"), F.col("title").alias("xb")).agg(F.min("id").alias("hid"))
     old = [
-        recs.join(_least(history, "url", "hid"), "url").select("id", "hid"),
-        recs.join(_least(history, "digest", "hid"), "digest").select("id", "hid"),
-        m.join(by_class.where(F.col("jaccard") >= J_ALONE), m.rep == by_class.a).select("id", F.col("b").alias("hid")),
-        titled_nodes(by_class, new, hist).join(old_titles, ["b", "xb"]).join(m.select("id", F.col("rep").alias("a"), F.col("title").alias("xa")), ["a", "xa"]).select("id", "hid"),
+        recs.join(_least(urls, "url", "hid"), "url").select("id", "hid"),
+        recs.join(_least(digests, "digest", "hid"), "digest").select("id", "hid"),
+        # the least partner of a class first, so that its copies don't multiply with all of them
+        m.join(by_class.where(F.col("jaccard") >= J_ALONE).groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("hid")), "rep").select("id", "hid"),
+        m.join(titled_nodes(by_class, new, hist).join(old_titles, ["b", "xb"]).groupBy(F.col("a").alias("rep"), F.col("xa").alias("title")).agg(F.min("hid").alias("hid")), ["rep", "title"]).select("id", "hid"),
     ]
     matched = cut(old[0].union(old[1]).union(old[2]).union(old[3]).groupBy("id").agg(F.min("hid").alias("hid")))
 
@@ -79,9 +86,9 @@ def check(hist: WordIndex, history: DataFrame, incoming: DataFrame) -> DataFrame
 class StoredIndex(WordIndex):
     """A word index whose parts are read from the tables that HistoryIndex keeps."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, read):
         self.least, self.bands, self.most_bits = WordIndex.least, WordIndex.bands, WordIndex.most_bits
-        self.read = lambda name: spark.read.parquet(f"{path}/{name}").drop("batch")
+        self.read = read
 
     @cached_property
     def classes(self) -> DataFrame:
@@ -95,35 +102,76 @@ class StoredIndex(WordIndex):
     def segments(self) -> DataFrame:
         return self.read("segments")
 
+    @cached_property
+    def nodes(self) -> DataFrame:
+        return self.read("nodes")
+
+    @cached_property
+    def nodes_by_rep(self) -> DataFrame:
+        return self.members.where(F.col("title") != "").select("rep", "title").distinct()
+
     @cached_property
     def title_segments(self) -> DataFrame:
         return self.read("title_segments").distinct()
 
 
 class HistoryIndex:
-    """The index of everything accepted so far, as tables in the shared folder.
+    """The index of everything accepted so far, as bucketed tables in the shared folder.
 
-    A batch is probed against the stored segments; only its accepted records are sketched and appended, each batch
-    in a folder of its own, so a batch that runs again after a failure leaves one copy. No text of the history is
-    read again.
+    A batch runs again after a failure without harm: it sees only what came before it, and what it has appended already
+    stays as it is. path reopens an index of another session.
     """
 
-    PARTS = ("classes", "members", "segments", "title_segments")
-
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark = spark
+    BUCKETS = 64
+    # columns of each table and the one by which it lies in buckets
+    TABLES = {
+        "urls": ("url STRING, id BIGINT", "url"),
+        "digests": ("digest STRING, id BIGINT", "digest"),
+        "classes": ("rep BIGINT, tokens ARRAY<BIGINT>", "rep"),
+        "members": ("id BIGINT, rep BIGINT, title STRING", "rep"),
+        "nodes": ("rep BIGINT, tid BIGINT, title STRING", "tid"),
+        "segments": ("key BIGINT, rep BIGINT, n INT, s0 BIGINT, s1 BIGINT, s2 BIGINT, s3 BIGINT", "key"),
+        "title_segments": ("key BIGINT, tid BIGINT, s0 BIGINT, s1 BIGINT", "key"),
+    }
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
+        self.spark, self.buckets = spark, buckets
         self.path = path or scratch_table(spark, "history")
+        self.name = "history_" + uuid.uuid4().hex
+        for part, (columns, by) in self.TABLES.items():
+            spark.sql(f"CREATE TABLE {self.name}_{part} ({columns}, batch INT) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.path}/{part}'")
+
+    def read(self, part: str, before: int | None = None) -> DataFrame:
+        t = self.spark.table(f"{self.name}_{part}")
+        return (t if before is None else t.where(F.col("batch") < before)).drop("batch")
+
+    def _add(self, part: str, rows: DataFrame, batch: int) -> None:
+        if not self.spark.table(f"{self.name}_{part}").where(F.col("batch") == batch).isEmpty():
+            return
+        columns, by = self.TABLES[part]
+        names = [c.split()[0] for c in columns.split(", ")]
+        rows.select(*names, F.lit(batch).alias("batch")).repartition(self.buckets, by).write.insertInto(f"{self.name}_{part}")
 
     def append(self, records: DataFrame, batch: int) -> None:
         """Adds accepted records (id, url, digest, title, content)."""
+        self._add("urls", records.where("url is not null").select("url", "id"), batch)
+        self._add("digests", records.where("digest is not null").select("digest", "id"), batch)
         index = WordIndex(records)
-        for name in self.PARTS:
-            getattr(index, name).write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
-        records.select("id", "url", "digest").write.mode("overwrite").parquet(f"{self.path}/keys/batch={batch}")
+        self._add("classes", index.classes, batch)
+        self._add("members", index.members, batch)
+        # the rest is made of what is stored
+        new = StoredIndex(lambda part: self.spark.table(f"{self.name}_{part}").where(F.col("batch") == batch).drop("batch"))
+        self._add("nodes", WordIndex.nodes.func(new), batch)
+        self._add("segments", WordIndex.segments.func(new), batch)
+        self._add("title_segments", WordIndex.title_segments.func(new), batch)
+
+    def find(self, incoming: DataFrame, before: int | None = None) -> DataFrame:
+        """(matched_id, incoming_id) of records that repeat an accepted one of earlier batches, or one another."""
+        read = lambda part: self.read(part, before)
+        return check(StoredIndex(read), read("urls"), read("digests"), incoming)
 
     def take(self, incoming: DataFrame, batch: int) -> DataFrame:
         """(matched_id, incoming_id) of the batch; its other records are appended."""
-        keys = self.spark.read.parquet(f"{self.path}/keys").drop("batch")
-        found = cut(check(StoredIndex(self.spark, self.path), keys, incoming))
+        found = cut(self.find(incoming, batch))
         self.append(incoming.join(found.select(F.col("incoming_id").alias("id")), "id", "left_anti"), batch)
         return found
