@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,12 +14,13 @@ KEY = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir.
 
-    Only where the session names none, as in tests on one machine, is a
-    temporary folder made and kept for the session.
+    Where the session names none, a temporary folder is made only on one machine, as in tests; a cluster must name one.
     """
     sc = spark.sparkContext
     told = sc.getConf().get(KEY) or spark.conf.get(KEY, None)
     if not told:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set {KEY} to a folder that the whole cluster shares")
         told = "file://" + tempfile.mkdtemp(prefix="cribble-")
         spark.conf.set(KEY, told)
     if sc._jsc.sc().getCheckpointDir().isEmpty():

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cribble.functions.text import content_hash
 from cribble.functions.urls import normalize_url
+from cribble.operators.bucketed import BucketedTable
+from cribble.operators.lineage import cut
 from cribble.operators.store import insert_ignore
 
 SCHEMA = "incoming_id long, batch_no int, title string, content string, canonical_url string, source_domain string, collected_at timestamp"
@@ -20,26 +22,19 @@ def candidates(spark: SparkSession, folder: str, lateness: str = "30 days") -> D
 def store_new(spark: SparkSession, table: str):
     """A function for foreachBatch: appends the records whose address and digest the table doesn't hold yet.
 
-    Each micro-batch goes to a folder by its number, so a batch that runs twice after a failure leaves one copy.
+    Addresses and digests are kept apart in buckets, so a micro-batch is joined to them where they lie and reads no text.
+    Each micro-batch goes to a folder by its number, so a batch that runs twice after a failure leaves one copy. What
+    can't be read is an error, never an empty store.
     """
+    urls = BucketedTable(spark, f"{table}-urls", "url STRING", "url")
+    digests = BucketedTable(spark, f"{table}-digests", "digest STRING", "digest")
 
     def run(batch: DataFrame, number: int) -> None:
         new = batch.withColumn("digest", content_hash(F.col("title"), F.col("content"))).select("incoming_id", "url", "digest", "title", "content", "collected_at")
-        out = f"{table}/batch={number}"
-        try:
-            old = spark.read.parquet(table).where(F.col("batch") != number)
-        except Exception:  # noqa: BLE001
-            old = None
-        if old is not None:
-            new = insert_ignore(old.select("url"), new, ["url"], F.col("incoming_id"))
-            new = new.join(old.select("digest").distinct(), "digest", "left_anti")
-        new = insert_ignore(new.select("digest").limit(0), new, ["digest"], F.col("incoming_id"))
-        new.select("incoming_id", "url", "digest", "title", "content", "collected_at").write.mode("overwrite").parquet(out)
+        new = insert_ignore(urls.read(number), new, ["url"], F.col("incoming_id"))
+        new = cut(insert_ignore(digests.read(number), new, ["digest"], F.col("incoming_id")))
+        new.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        urls.add(new.select("url"), number)
+        digests.add(new.select("digest"), number)
 
     return run
-
-
-def hourly_counts(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Records and distinct sites (estimated) by hour and type of an event stream with columns ts, event_type, user_id."""
-    w = stream.withWatermark("ts", lateness).groupBy(F.window("ts", "1 hour"), "event_type")
-    return w.agg(F.count("*").alias("n"), F.approx_count_distinct("user_id").alias("users"))
