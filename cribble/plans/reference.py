@@ -235,10 +235,16 @@ def active_queries(s: SparkSession, d: str) -> DataFrame:
     return q.where(F.col("status").isin(*reports.ACTIVE)).select("id", "query_text", "provider")
 
 
-@query()
+@query(
+    """WITH RECURSIVE t AS (SELECT row_number() OVER (ORDER BY id) AS n, id, normalized_url AS u, array_to_string(list_filter([lower(source_domain), reason, strftime(discarded_at, '%Y-%m-%d')], lambda x: x IS NOT NULL), '|') AS h FROM discarded_candidates),
+g AS (SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS id, CAST([] AS VARCHAR[]) AS us, CAST([] AS VARCHAR[]) AS hs, false AS ok
+  UNION ALL SELECT n, id, CASE WHEN ok THEN list_append(us, u) ELSE us END, CASE WHEN ok THEN list_append(hs, h) ELSE hs END, ok
+  FROM (SELECT t.n, t.id, t.u, t.h, g.us, g.hs, NOT coalesce(list_contains(g.us, t.u), false) AND NOT coalesce(list_contains(g.hs, t.h), false) AS ok FROM g JOIN t ON t.n = g.n + 1))
+SELECT d.id, d.normalized_url, array_to_string(list_filter([lower(d.source_domain), d.reason, strftime(d.discarded_at, '%Y-%m-%d')], lambda x: x IS NOT NULL), '|') AS k2 FROM g JOIN discarded_candidates d USING (id) WHERE ok"""
+)
 def greedy_two_key_dedup(s: SparkSession, d: str) -> DataFrame:
     """Discards taken by id, at most one for an address and one for an (original address, reason)."""
-    t = table(s, d, "discarded_candidates").select("id", "normalized_url", F.concat_ws("|", F.lower("source_domain"), "reason", F.date_trunc("day", "discarded_at").cast("string")).alias("k2"))
+    t = table(s, d, "discarded_candidates").select("id", "normalized_url", F.concat_ws("|", F.lower("source_domain"), "reason", F.date_format("discarded_at", "yyyy-MM-dd")).alias("k2"))
     return dedup.greedy_two_key(t, "id", "normalized_url", "k2")
 
 

@@ -128,7 +128,12 @@ def allowed_domains(s: SparkSession, d: str) -> DataFrame:
     return m.groupBy("taxonomy_lv2", "type_name").agg(F.sort_array(F.collect_set("source_domain")).alias("allowed"))
 
 
-@query()
+@query(
+    """WITH c AS (SELECT id, content, list_filter(regexp_split_to_array(content, '[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{3000}]+'), lambda x: x <> '') AS w FROM contents WHERE status = 'accepted'),
+p AS (SELECT id, CAST(1 + len(content) % 5 AS INT) AS type_relevance, CAST(1 + round_even(4.0 * len(regexp_replace(content, '[^가-힣]', '', 'g')) / len(content), 0) AS INT) AS korean_locality,
+  CAST(1 + len(list_distinct(w)) % 5 AS INT) AS specificity, CAST(1 + len(w) % 5 AS INT) AS injection_suitability, CASE WHEN len(content) < 100 THEN ['too_short'] ELSE [] END AS issues FROM c)
+SELECT *, (type_relevance + korean_locality + specificity + injection_suitability) / 4 AS overall FROM p"""
+)
 def stub_scores(s: SparkSession, d: str) -> DataFrame:
     """Scores of a deterministic stand-in for the accepted records."""
     t = table(s, d, "contents").where("status = 'accepted'").select("id", "content")
