@@ -89,13 +89,13 @@ def budgets(lanes: list[Lane], page_size: dict[str, int], factor: float = 2.0) -
     return {k: max(v, count[k]) if k[1] == "tavily" else v for k, v in out.items()}
 
 
-def drive(lanes: list[Lane], search: Callable, stored: Callable, cache: dict, page_size: dict[str, int], most_pages: int = 1, caps: dict | None = None, type_cap: int | None = None) -> tuple[list[dict], list[str]]:
+def drive(lanes: list[Lane], search: Callable, stored: Callable, cache: dict, page_size: dict[str, int], most_pages: int = 1, caps: dict | None = None, type_cap: int | None = None, robin: bool = False) -> tuple[list[dict], list[str]]:
     """Runs lanes until targets, queries or budgets are used up; returns candidates and warnings.
 
     search(lane, text, start) returns rows with url, rank and score; stored(url) tells known addresses; cache maps
     request digests to result counts, and a request in it isn't made again, though its count still goes to the
     lane's progress. Types not yet tried come first, then the type with the largest deficit, fewer calls, and the
-    lane with the larger gap and fewer calls. An error stops its provider only.
+    lane with the larger gap and fewer calls; with robin, lanes take turns instead. An error stops its provider only.
     """
     goal, type_calls, used, group = Counter(), Counter(), Counter(), Counter()
     limit, dead, notes, out = budgets(lanes, page_size), set(), [], []
@@ -125,7 +125,7 @@ def drive(lanes: list[Lane], search: Callable, stored: Callable, cache: dict, pa
                     open_.append(x)
         if not open_:
             return out, notes
-        x = min([y for y in open_ if not type_calls[y.key]] or open_, key=lambda y: (-(goal[y.key] - got(y.key)), type_calls[y.key], -(y.target - y.found), y.calls))
+        x = min(open_, key=lambda y: y.calls) if robin else min([y for y in open_ if not type_calls[y.key]] or open_, key=lambda y: (-(goal[y.key] - got(y.key)), type_calls[y.key], -(y.target - y.found), y.calls))
         x.calls += 1
         type_calls[x.key] += 1
         x.now = x.now or x.queries.pop(0)

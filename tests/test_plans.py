@@ -82,11 +82,22 @@ def test_settings(tmp_path):
     assert files.parse_settings("") == {}
     with pytest.raises(FileNotFoundError):
         files.read_settings(str(tmp_path / "none.yaml"))
-    bad = {"provider_ratio": {"g": {"tavily": 60, "serpapi": 30}}, "taxonomy": [{"types": [{"name": "t"}, {"name": "t"}]}], "retry_policy": {"x": {"retry_mode": "odd"}}, "type_domains": {"t": ["d.com"]}, "blacklist": ["d.com"]}
-    assert len(files.settings_issues(bad)) == 4 and files.settings_issues({}) == []
-
-
-LONG = "본문이 이어지는 문장이다. " * 20
+    every = files.settings_issues({})
+    assert len(every) > 15
+    sound = {
+        "app": {"database": {"path": "p"}, "export": {"final_dir": "f"}}, "blacklist": {"domains": ["x.com"]}, "domain_aliases": {"groups": {"a": ["b"]}}, "retry_policy": {"reasons": {"timeout": {"retry_mode": "immediate"}}, "rate_limit": {"fetch": {}}},
+        "collection": {"defaults": {"target_count": 30, "candidate_multiplier": 2}, "candidate_multiplier_options": [2, 3], "query_generation": {"tavily_count_per_type": 1, "serpapi_count_per_type": 1}, "provider_ratio": {"default": {"tavily": 70, "serpapi": 30}}},
+        "providers": {"openai": {"model": "m", "query_generation_model": "m", "query_generation_input_price_per_1m_usd": 0, "query_generation_output_price_per_1m_usd": 1, "web_search_price_per_1k_calls_usd": 10, "api_key_env": "K"}, "tavily": {"api_key_env": "K"}, "serpapi": {"api_key_env": "K", "max_pages_per_query": 10}},
+        "taxonomy": {"taxonomy": [{"lv2_id": "g", "types": [{"name": "t", "definition": "", "description": "", "include_criteria": [], "exclude_criteria": [], "enabled": True}]}]}, "type_domains": {"types": {"t": {"serpapi_allowed_domains": ["d.com"]}, "g": {"t": {"serpapi_allowed_domains": ["e.com"]}}}},
+        "extraction": {"cleaning": {"trailing_section_markers": [], "remove_duplicate_paragraphs": True, "duplicate_paragraph_min_length": 30}},
+    }
+    assert files.settings_issues(sound) == []
+    for name, part, words in (
+        ("blacklist", {"domains": ["e.com"]}, "allowed and blocked: e.com"), ("retry_policy", {"reasons": {"x": {"retry_mode": "odd"}}, "rate_limit": {"a": 1}}, "mode of x"), ("domain_aliases", {"groups": {"a": []}}, "domain_aliases: a"),
+        ("collection", {**sound["collection"], "provider_ratio": {"default": {"tavily": 60, "serpapi": 30}}}, "sums to 90"), ("type_domains", {"types": {"t": {"u": 3}}}, "t.u"), ("extraction", {"cleaning": {**sound["extraction"]["cleaning"], "duplicate_paragraph_min_length": 0}}, "positive"),
+        ("taxonomy", {"taxonomy": [{"lv2_id": "g", "lv2_fallback_vocabulary": "x", "types": sound["taxonomy"]["taxonomy"][0]["types"]}]}, "list of texts"), ("providers", {**sound["providers"], "serpapi": {"api_key_env": "K"}}, "max_pages"), ("app", {}, "database.path"),
+    ):
+        assert any(words in x for x in files.settings_issues({**sound, name: part})), name
 
 
 def article(body, head=""):

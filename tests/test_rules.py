@@ -23,7 +23,7 @@ def test_terms(spark):
     assert one(spark, *ru.merged_terms(none, arr("c"), none, none)) == (["c"], "fresh_only")
     assert one(spark, *ru.merged_terms(arr(), none, arr("d"), arr("g"))) == (["d"], "definition_fallback")
     assert one(spark, *ru.merged_terms(none, none, none, none)) == ([], "lv2_fallback")
-    assert one(spark, ru.definition_terms(F.lit("신상털기, 비방·모욕 등 행위 및 /협박.")), ru.without_citations(arr("말 [1]", "글"))) == (["신상털기", "비방", "모욕", "행위", "협박"], ["말", "글"])
+    assert one(spark, ru.definition_terms(F.lit("신상털기, 비방·모욕 등 행위 및 /협박.")), ru.without_citations(arr("말 [1]", "글"))) == (["신상털기", "비방", "모욕", "행위", "협박"], ["말 [1]", "글"])
 
 
 def test_dates_and_texts(spark):
