@@ -37,6 +37,8 @@ MOST_BITS = 88
 MOST_TITLE_BITS = 28
 #: Pairs of contents under one pair of titles, up to which all are checked directly; beyond, an exact prefix filter selects them.
 DIRECT = 4096
+#: Segments that one task of a join should meet; the number of tasks follows from it, whatever the session's default is.
+TASK_ROWS = 200_000
 
 
 def ring_check(a: str, b: str, most: int, parts: int = 4) -> Column:
@@ -97,6 +99,11 @@ class WordIndex:
         k = self.classes.mapInArrow(sketch.content_bands(self.bands), sketch.CONTENT_BANDS)
         return k.select(F.explode("bands").alias("key"), "rep", "n", "s0", "s1", "s2", "s3")
 
+    @cached_property
+    def spread(self) -> int | None:
+        """Tasks for a join of the segments; none where they lie in buckets."""
+        return max(1, self.members.count() * self.bands // TASK_ROWS)
+
     @cached_property
     def nodes(self) -> DataFrame:
         """rep, tid, title: the distinct titles of each class, blank ones left out."""
@@ -120,7 +127,11 @@ class WordIndex:
 
 
 def _content_candidates(p: WordIndex, q: WordIndex) -> DataFrame:
-    a, b = p.segments.alias("a"), q.segments.alias("b")
+    a, b = p.segments, q.segments
+    if p.spread and q.spread:
+        tasks = max(p.spread, q.spread, int(p.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        a, b = a.repartition(tasks, "key"), b.repartition(tasks, "key")
+    a, b = a.alias("a"), b.alias("b")
     near = [F.expr("a.n >= 0.44 * b.n and b.n >= 0.44 * a.n"), ring_check("a", "b", p.most_bits)]
     order = [F.expr("a.rep < b.rep")] if p is q else []
     j = a.join(b.hint("merge"), [F.expr("a.key = b.key"), *order, *near])
