@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cribble.operators.lineage import cut, scratch_table
-from cribble.operators.similar import J_ALONE, WordIndex, class_pairs, titled_nodes
+from cribble.operators.similar import J_ALONE, TASK_ROWS, WordIndex, class_pairs, titled_nodes
 
 
 def _least(df: DataFrame, key: str, out: str) -> DataFrame:
@@ -32,7 +32,9 @@ def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     are normalised. Nulls in url and digest match nothing; a null content is empty. Records are taken by batch_no (nulls first), then
     id; ids are unique over both.
     """
-    index = HistoryIndex(history.sparkSession)
+    # so many buckets that one holds about TASK_ROWS segments
+    buckets = max(HistoryIndex.BUCKETS, history.count() * WordIndex.bands // TASK_ROWS)
+    index = HistoryIndex(history.sparkSession, buckets=buckets)
     index.append(history, 0)
     return index.find(incoming)
 
@@ -90,6 +92,10 @@ class StoredIndex(WordIndex):
         self.least, self.bands, self.most_bits = WordIndex.least, WordIndex.bands, WordIndex.most_bits
         self.read = read
 
+    @cached_property
+    def spread(self) -> None:
+        return None
+
     @cached_property
     def classes(self) -> DataFrame:
         return self.read("classes")
