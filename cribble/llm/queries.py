@@ -110,7 +110,11 @@ n AS (SELECT id, site, CAST(line_no AS INTEGER) AS line_no, {NORM_SQL} AS k FROM
 r AS (SELECT site, k FROM n WHERE len(k) >= 10 GROUP BY site, k HAVING count(DISTINCT id) >= 5)
 SELECT id AS content_id, line_no FROM n JOIN r USING (site, k)
 """
+REBUILT_SQL = f"""
+WITH f AS ({P1_SQL}), d AS (SELECT id, unnest(string_split(content, chr(10))) AS l, unnest(range(len(string_split(content, chr(10))))) AS n FROM contents WHERE id IN (SELECT content_id FROM f))
+SELECT d.id, coalesce(string_agg(l, chr(10) ORDER BY n) FILTER (f.content_id IS NULL), '') AS content FROM d LEFT JOIN f ON f.content_id = d.id AND f.line_no = d.n GROUP BY d.id
+"""
 
 
 def oracle_sql() -> dict:
-    return {"p1_found": P1_SQL} | problems.oracle_sql()
+    return {"p1_found": P1_SQL, "p1_rebuilt": REBUILT_SQL} | problems.oracle_sql()
