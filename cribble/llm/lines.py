@@ -108,13 +108,13 @@ class LineCounts:
             mine = old.join(new.select(*KEY).hint("merge"), KEY, "left_semi").groupBy(*KEY).agg(F.sum("n").alias("before"))
             both = new.join(mine.hint("merge"), KEY, "left").withColumn("before", F.coalesce("before", F.lit(0).cast("long")))
         crossed = cut(both.where((F.col("n") + F.col("before") >= self.least) & (F.col("before") < self.least)).select(*KEY, (F.col("n") + F.col("before")).alias("n")))
-        new.select(*KEY, "n", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/counts/delta={self.deltas}")
+        new.select(*KEY, "n", "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/counts/delta={self.deltas}")
         self.deltas += 1
         return crossed
 
     def merge_partition(self, docs: DataFrame) -> DataFrame:
         """Merges the documents (id, site, content), with their postings; returns the crossed lines."""
-        bucketed(line_rows(docs).select("id", *KEY).distinct()).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/delta={self.deltas}")
+        bucketed(line_rows(docs).select("id", *KEY).distinct()).repartition("bucket", "id").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/delta={self.deltas}")
         return self.merge_delta(delta(docs))
 
     def repeated(self) -> DataFrame:

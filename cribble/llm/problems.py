@@ -10,7 +10,7 @@ from cribble.llm.capping import beyond_cap, share_cap
 from cribble.llm.history import repeats
 from cribble.operators.scoring import latest_score
 from cribble.operators.similar import similar_pairs
-from cribble.sources.tables import table
+from cribble.sources.tables import spread, table
 
 CAP_PERCENT = 2
 
@@ -25,8 +25,8 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = [digest.alias("digest"), _title().alias("title"), "content"]
     old = table(spark, sf_dir, "contents").where("status = 'accepted'")
     new = table(spark, sf_dir, "incoming_contents")
-    old = old.select("id", F.col("canonical_url").alias("url"), *cols)
-    new = new.select(F.col("incoming_id").alias("id"), "batch_no", normalize_url(F.col("canonical_url")).alias("url"), *cols)
+    old = spread(old.select("id", F.col("canonical_url").alias("url"), *cols))
+    new = spread(new.select(F.col("incoming_id").alias("id"), "batch_no", normalize_url(F.col("canonical_url")).alias("url"), *cols))
     return repeats(old, new)
 
 
@@ -40,7 +40,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of similar contents."""
-    return similar_pairs(table(spark, sf_dir, "contents").select("id", _title().alias("title"), "content"))
+    return similar_pairs(spread(table(spark, sf_dir, "contents").select("id", _title().alias("title"), "content")))
 
 
 def queries() -> dict:

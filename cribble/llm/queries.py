@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cribble.functions.text import site
 from cribble.llm import boilerplate, cuts, lines, mixing, pii, problems, residue, tokens
 from cribble.operators.lineage import cut
-from cribble.sources.tables import table
+from cribble.sources.tables import spread, table
 
 
 def _contents(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
-    return table(spark, sf_dir, "contents").select("id", *cols)
+    return spread(table(spark, sf_dir, "contents").select("id", *cols))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", *cols)
+    return spread(table(spark, sf_dir, "documents").select("doc_id", *cols))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     listed = d.join(F.broadcast(table(spark, sf_dir, "mix_targets").select("source")), "source", "left_semi")
     docs = listed.select(F.col("doc_id").alias("id"), "text", "source", F.md5(F.col("text").cast("binary")).alias("text_key"))
     return tokens.token_counts(docs, extra=("source", "text_key")).withColumnRenamed("id", "doc_id")
@@ -65,7 +65,7 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cuts.verdicts(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source", "text"))
+    return cuts.verdicts(spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source", "text")))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
