@@ -30,6 +30,8 @@ TAIL_CHARS = 160
 
 # Marks that a field limit or a list page leaves behind a cut text.
 MARK = re.compile(r"\s*(?:(?:\.{2,}|…+)\s*)?(?:\[?\s*(?:전문보기|전문 보기|더보기|더 보기|계속 읽기|read more|more|continue reading|continued)\s*\]?|\((?:계속|중략|이하 생략|continued|more)\))\s*$|\s*(?:\.{3,}|…+)\s*$", re.I)
+#: How every MARK ends, by its last 9 characters at most; most texts need no search for it.
+MARK_END = re.compile(r"(?:\.{3}|…|보기|읽기|more|reading|continued|[\])])$", re.I)
 #: What only a break leaves: the replacement character, a part of an escape, of an entity or of a tag, a lone jamo of a syllable.
 BROKEN = re.compile(r"(?:�+|\\u?[0-9a-fA-F]{0,3}|&[a-zA-Z]{1,7}|&#x?[0-9a-fA-F]{0,6}|<[a-zA-Z/!][^<>]{0,80}|<|%[0-9A-F]?|[ᄀ-ᇿ\ud800-\udfff])$")
 CLOSED = re.compile(r"[.!?。！？][\"'”’)\]』」]*$")
@@ -61,6 +63,8 @@ def tail_of(t: str) -> str:
 def unmarked(text: str) -> str | None:
     """The text without a mark of a cut and blanks behind it; null where there is no mark, or nothing else."""
     t = text.rstrip()
+    if not MARK_END.search(t[-9:]):
+        return None
     end = tail_of(t)
     m = MARK.search(end)
     if not m:
